@@ -101,9 +101,11 @@ def readings_array(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          "room_temperature").alias("features"))
 
 
-def with_views(sql: str, *views: str) -> str:
-    """Prefix an oracle query with the fixture CTEs it needs (readings first)."""
+def with_views(sql: str, *views: str, extra: tuple[str, ...] | list[str] = ()) -> str:
+    """Prefix an oracle query with the fixture CTEs it needs (readings first),
+    then any extra ``name AS (...)`` definitions in order."""
     ctes = {"readings": READINGS_SQL, "predictions": PREDICTIONS_SQL, "blend_pairs": BLEND_PAIRS_SQL}
     names = ["readings", *[v for v in views if v != "readings"]]
-    body = ",\n".join(f"{n} AS ({ctes[n]})" for n in names)
+    parts = [f"{n} AS ({ctes[n]})" for n in names] + [e.strip() for e in extra]
+    body = ",\n".join(parts)
     return f"WITH {body}\n{sql}"

@@ -158,3 +158,167 @@ def q_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "ORACLE"]
+
+
+# --- A5 / E1 / E2 / E6 (single adjuster) -------------------------------------------------
+
+from thermocal.operators.adjust import adjust_values, apply_adjuster  # noqa: E402
+from thermocal.operators.linfit import categories, fit_multi, fit_single  # noqa: E402
+from thermocal.plans.registry import round_half  # noqa: E402
+from thermocal.sources.params import (  # noqa: E402
+    SHIPPED_SINGLE, multi_params_frame, multi_params_rows, single_params_frame,
+)
+
+
+def _single_side_sql(side: str, te: str) -> str:
+    st = f"(room_temperature, {te})"
+    return (f"SELECT '{side}' AS side, regr_count{st} AS n, regr_sxy{st} / regr_sxx{st} AS slope, "
+            f"regr_avgy{st} - regr_sxy{st} / regr_sxx{st} * regr_avgx{st} AS intercept, "
+            f"regr_sxy{st} / sqrt(regr_sxx{st} * regr_syy{st}) AS r_value, "
+            f"regr_sxx{st} AS sxx, regr_syy{st} AS syy FROM readings")
+
+
+SINGLE_FIT_CTE = ("single_fit AS (" + _single_side_sql("right", "Right_final") + " UNION ALL "
+                  + _single_side_sql("left", "Left_final") + ")")
+
+
+@query("te_single_fit", with_views(
+    "SELECT side, CAST(n AS BIGINT) AS n, " + _r6("slope", "slope") + ", " + _r6("intercept", "intercept")
+    + ", " + _r6("r_value", "r_value") + ", "
+    + _r6("sqrt((1e0 - r_value * r_value) * syy / (sxx * (n - 2)))", "std_err")
+    + " FROM single_fit", extra=[SINGLE_FIT_CTE]))
+def q_te_single_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature regressed on each TE side, over all readings."""
+    return rounded(fit_single(fx.readings(spark, sf_dir), with_p=False))
+
+
+def _single_new(slope_r: str, slope_l: str, target: float = 23.0) -> tuple[str, str]:
+    return (f"Right_final + ({target!r}e0 - room_temperature) / {slope_r}",
+            f"Left_final + ({target!r}e0 - room_temperature) / {slope_l}")
+
+
+_SHIPPED_NEW = _single_new(repr(SHIPPED_SINGLE[0][1]), repr(SHIPPED_SINGLE[1][1]))
+
+
+@query("te_single_apply", with_views(
+    "SELECT sample_id, " + _r6(_SHIPPED_NEW[0], "adjusted_right") + ", " + _r6(_SHIPPED_NEW[1], "adjusted_left")
+    + ", 23e0 AS adjusted_temperature FROM readings"))
+def q_te_single_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 with the shipped single-adjuster parameters, on every reading."""
+    out = adjust_values(fx.readings(spark, sf_dir), single_params_frame(spark), mode="single", target=23.0)
+    return rounded(out.select("sample_id", "adjusted_right", "adjusted_left", "adjusted_temperature"))
+
+
+def _update_sql(new_r: str, new_l: str, source: str = "readings", threshold: float = 25.0,
+                target: float = 23.0) -> str:
+    hot = f"(room_temperature > {threshold!r}e0 AND NOT isnan(room_temperature))"
+    return (
+        "SELECT sample_id, category, "
+        + _r6(f"CASE WHEN {hot} THEN {target!r}e0 ELSE room_temperature END", "room_temperature") + ", "
+        + _r6(f"CASE WHEN {hot} THEN {new_r} ELSE Right_final END", "Right_final") + ", "
+        + _r6(f"CASE WHEN {hot} THEN {new_l} ELSE Left_final END", "Left_final") + ", "
+        + _r6('"P1(uW)"', '"P1(uW)"') + ", "
+        + _r6(f"CASE WHEN {hot} THEN ({new_r}) - ({new_l}) ELSE Difference END", "Difference")
+        + f" FROM {source}")
+
+
+@query("te_single_update", with_views(
+    _update_sql(*_single_new("(SELECT slope FROM single_fit WHERE side = 'right')",
+                             "(SELECT slope FROM single_fit WHERE side = 'left')")),
+    extra=[SINGLE_FIT_CTE]))
+def q_te_single_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E6 end to end: fit the single adjuster on the readings, correct the hot rows."""
+    r = fx.readings(spark, sf_dir)
+    return rounded(apply_adjuster(r, fit_single(r, with_p=False), mode="single", threshold=25.0, target=23.0))
+
+
+@query("te_single_pvalue")
+def q_te_single_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 with the two-sided p-value (Student t; no SQL twin)."""
+    return fit_single(fx.readings(spark, sf_dir), with_p=True)
+
+
+# --- A6 / A7 / E3-E6 (multi adjuster) ----------------------------------------------------
+
+def _multi_side_sql(p: str, te: str) -> str:
+    st = f"({te}, room_temperature)"
+    return (f"regr_count{st} AS {p}n, regr_sxy{st} / regr_sxx{st} AS {p}k, "
+            f"regr_avgy{st} - regr_sxy{st} / regr_sxx{st} * regr_avgx{st} AS {p}b")
+
+
+MULTI_FIT_CTES = [
+    "multi_cat AS (SELECT category, " + _multi_side_sql("r", "Right_final") + ", "
+    + _multi_side_sql("l", "Left_final")
+    + ", CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS ord "
+      "FROM readings WHERE category IS NOT NULL GROUP BY category)",
+    "multi_fit AS (SELECT 'right' AS side, category, ord, rn AS n, rk AS k, rb AS b FROM multi_cat "
+    "UNION ALL SELECT 'left', category, ord, ln, lk, lb FROM multi_cat)",
+]
+
+
+@query("te_multi_fit", with_views(
+    "SELECT side, category, ord, CAST(n AS BIGINT) AS n, " + sql_round("k", 9) + " AS k, "
+    + sql_round("b", 9) + " AS b FROM multi_fit", extra=MULTI_FIT_CTES))
+def q_te_multi_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-category lines TE = k*T + b for both sides."""
+    fit = fit_multi(fx.readings(spark, sf_dir))
+    return fit.select("side", "category", "ord", "n", round_half(F.col("k"), 9).alias("k"),
+                      round_half(F.col("b"), 9).alias("b"))
+
+
+@query("te_categories", with_views(
+    "SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS ord "
+    "FROM (SELECT DISTINCT category FROM readings WHERE category IS NOT NULL)"))
+def q_te_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered category list."""
+    return categories(fx.readings(spark, sf_dir))
+
+
+def _bracket_cte(side: str, te: str, lines: str, target: float = 23.0) -> str:
+    v = "(l.k * r.room_temperature + l.b)"
+    s = f"(l.k * {target!r}e0 + l.b)"
+    return f"""br_{side} AS (
+  SELECT r.sample_id, any_value(r.{te}) AS te,
+    max({{'v': {v}, 'ni': -l.ord, 's': {s}}}) FILTER (WHERE {v} < r.{te}) AS lo,
+    min({{'v': {v}, 'i': l.ord, 's': {s}}}) FILTER (WHERE {v} > r.{te}) AS hi,
+    min({{'v': {v}, 'i': l.ord, 's': {s}}}) AS lowest,
+    max({{'v': {v}, 'ni': -l.ord, 's': {s}}}) AS highest,
+    arg_min({s}, l.ord) AS first_s
+  FROM readings r JOIN {lines} l ON l.side = '{side}' AND l.k IS NOT NULL AND l.b IS NOT NULL
+  GROUP BY r.sample_id)"""
+
+
+def _bracket_value(side: str) -> str:
+    b = f"br_{side}"
+    return (f"(CASE WHEN {b}.te IS NULL OR isnan({b}.te) THEN NULL "
+            f"WHEN {b}.lo IS NOT NULL AND {b}.hi IS NOT NULL "
+            f"THEN {b}.lo.s + ({b}.te - {b}.lo.v) / ({b}.hi.v - {b}.lo.v) * ({b}.hi.s - {b}.lo.s) "
+            f"WHEN {b}.hi IS NOT NULL THEN {b}.lowest.s "
+            f"WHEN {b}.lo IS NOT NULL THEN {b}.highest.s ELSE {b}.first_s END)")
+
+
+SHIPPED_LINES_CTE = ("shipped_lines AS (SELECT * FROM (VALUES "
+                     + ", ".join(f"('{side}', {o}, {k!r}, {b!r})" for side, _cat, o, k, b in multi_params_rows())
+                     + ") AS t(side, ord, k, b))")
+_JOINED = "readings JOIN br_right USING (sample_id) JOIN br_left USING (sample_id)"
+
+
+@query("te_multi_apply", with_views(
+    "SELECT sample_id, " + _r6(_bracket_value("right"), "adjusted_right") + ", "
+    + _r6(_bracket_value("left"), "adjusted_left") + ", 23e0 AS adjusted_temperature FROM " + _JOINED,
+    extra=[SHIPPED_LINES_CTE, _bracket_cte("right", "Right_final", "shipped_lines"),
+           _bracket_cte("left", "Left_final", "shipped_lines")]))
+def q_te_multi_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 / E5 with the shipped per-category lines on every reading (bracket search J2)."""
+    out = adjust_values(fx.readings(spark, sf_dir), multi_params_frame(spark), mode="multi", target=23.0)
+    return rounded(out.select("sample_id", "adjusted_right", "adjusted_left", "adjusted_temperature"))
+
+
+@query("te_multi_update", with_views(
+    _update_sql(_bracket_value("right"), _bracket_value("left"), source=_JOINED),
+    extra=[*MULTI_FIT_CTES, _bracket_cte("right", "Right_final", "multi_fit"),
+           _bracket_cte("left", "Left_final", "multi_fit")]))
+def q_te_multi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + E6 end to end: per-category fit, then correct every hot reading."""
+    r = fx.readings(spark, sf_dir)
+    return rounded(apply_adjuster(r, fit_multi(r), mode="multi", threshold=25.0, target=23.0))

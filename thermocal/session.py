@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.pythonUDF.arrow.enabled": "true",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; with this
+    # limit Spark drops whole-stage fusion for an oversized subtree (the
+    # category-bracket projections) instead of running it un-JIT'd.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
