@@ -322,3 +322,110 @@ def q_te_multi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + E6 end to end: per-category fit, then correct every hot reading."""
     r = fx.readings(spark, sf_dir)
     return rounded(apply_adjuster(r, fit_multi(r), mode="multi", threshold=25.0, target=23.0))
+
+
+# --- T1 / T2 / T3 / V3 (exact split, k-fold) -----------------------------------------------
+
+from thermocal.operators.checks import split_summary  # noqa: E402
+from thermocal.operators.scaling import fit_scaler, inverse_log10, log10_target, standardize  # noqa: E402
+from thermocal.operators.split import kfold, train_test_split  # noqa: E402
+
+RANKED_CTE = ("ranked AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', sample_id, '42')), sample_id) AS rk, "
+              "count(*) OVER () AS n_all FROM readings)")
+SPLIT_CTE = ("split_t AS (SELECT * EXCLUDE (rk, n_all), CASE WHEN rk <= ceil(n_all * 0.15e0) THEN 'test' ELSE 'train' END "
+             "AS split FROM ranked)")
+TRAIN_CTE = "train AS (SELECT * EXCLUDE (split) FROM split_t WHERE split = 'train')"
+
+
+def _split(spark, sf_dir):
+    return train_test_split(fx.readings(spark, sf_dir), test_size=0.15, seed=42)
+
+
+@query("split_exact", with_views("SELECT sample_id, split FROM split_t", extra=[RANKED_CTE, SPLIT_CTE]))
+def q_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly ceil(0.15 n) test rows, chosen by the seeded hash order."""
+    return _split(spark, sf_dir).select("sample_id", "split")
+
+
+@query("split_summary", with_views(
+    "SELECT split, CAST(count(*) AS BIGINT) AS rows, "
+    + sql_round("count(*) * 100e0 / sum(count(*)) OVER ()") + " AS pct FROM split_t GROUP BY split",
+    extra=[RANKED_CTE, SPLIT_CTE]))
+def q_split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: rows and percentage per split."""
+    return rounded(split_summary(_split(spark, sf_dir)))
+
+
+@query("split_inner", with_views(
+    "SELECT sample_id, CASE WHEN rk2 <= ceil(n2 * 0.2e0) THEN 'test' ELSE 'train' END AS inner_split FROM "
+    "(SELECT sample_id, row_number() OVER (ORDER BY md5(concat_ws('|', sample_id, '42')), sample_id) AS rk2, "
+    "count(*) OVER () AS n2 FROM train)", extra=[RANKED_CTE, SPLIT_CTE, TRAIN_CTE]))
+def q_split_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 % early-stopping part carved out of the training part."""
+    train = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    inner = train_test_split(train, test_size=0.2, seed=42, split_col="inner_split")
+    return inner.select("sample_id", "inner_split")
+
+
+_FOLD_SQL = ("CASE WHEN rk <= (n_all % 5) * (n_all // 5 + 1) THEN CAST((rk - 1) // (n_all // 5 + 1) AS INTEGER) "
+             "ELSE CAST((n_all % 5) + (rk - 1 - (n_all % 5) * (n_all // 5 + 1)) // (n_all // 5) AS INTEGER) END")
+
+
+@query("kfold_assign", with_views(f"SELECT sample_id, {_FOLD_SQL} AS fold FROM ranked", extra=[RANKED_CTE]))
+def q_kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 seeded folds, sizes as equal as possible."""
+    return kfold(fx.readings(spark, sf_dir), k=5, seed=42).select("sample_id", "fold")
+
+
+@query("kfold_counts", with_views(
+    f"SELECT fold, CAST(count(*) AS BIGINT) AS rows FROM (SELECT {_FOLD_SQL} AS fold FROM ranked) GROUP BY fold",
+    extra=[RANKED_CTE]))
+def q_kfold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kfold(fx.readings(spark, sf_dir), k=5, seed=42).groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- A4 / P5 / P3 / P4 ---------------------------------------------------------------------
+
+def _scaler_sql_rows() -> str:
+    parts = []
+    for i, f in enumerate(FEATURES):
+        parts.append(f"SELECT '{f}' AS feature, {i} AS ord, avg({f}) AS mean, "
+                     f"CASE WHEN stddev_pop({f}) = 0 THEN 1e0 ELSE stddev_pop({f}) END AS std FROM train")
+    return " UNION ALL ".join(parts)
+
+
+SCALER_CTE = "scaler AS (" + _scaler_sql_rows() + ")"
+
+
+@query("scaler_fit", with_views(
+    "SELECT feature, CAST(ord AS INTEGER) AS ord, " + sql_round("mean") + " AS mean, " + sql_round("std")
+    + " AS std FROM scaler", extra=[RANKED_CTE, SPLIT_CTE, TRAIN_CTE, SCALER_CTE]))
+def q_scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: scaler statistics from the training part only."""
+    train = _split(spark, sf_dir).where(F.col("split") == "train")
+    return rounded(fit_scaler(train))
+
+
+@query("standardize", with_views(
+    "SELECT sample_id, " + ", ".join(
+        sql_round(f"({f} - (SELECT mean FROM scaler WHERE feature = '{f}')) / "
+                  f"(SELECT std FROM scaler WHERE feature = '{f}')") + f" AS {f}" for f in FEATURES)
+    + " FROM readings", extra=[RANKED_CTE, SPLIT_CTE, TRAIN_CTE, SCALER_CTE]))
+def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: every reading standardised with the training statistics."""
+    r = fx.readings(spark, sf_dir)
+    train = train_test_split(r, 0.15, 42).where(F.col("split") == "train")
+    return rounded(standardize(r, fit_scaler(train)).select("sample_id", *FEATURES))
+
+
+@query("log10_target", with_views(
+    "SELECT sample_id, " + sql_round('log10("P1(uW)")') + " AS log_target FROM readings"))
+def q_log10_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(log10_target(fx.readings(spark, sf_dir)).select("sample_id", "log_target"))
+
+
+@query("pow10_inverse", with_views(
+    "SELECT sample_id, " + sql_round('pow(10e0, log10("P1(uW)"))') + " AS target_back FROM readings"))
+def q_pow10_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = log10_target(fx.readings(spark, sf_dir))
+    return rounded(inverse_log10(d, "log_target", "target_back").select("sample_id", "target_back"))
