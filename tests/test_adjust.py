@@ -1,0 +1,190 @@
+"""Temperature correction: hand points from the shipped parameters, edge rows, plans."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from thermocal.operators.adjust import (
+    adjust_values, apply_adjuster, multi_lines, with_bracket, GENERATED_MAX_LINES,
+)
+from thermocal.operators.linfit import categories, fit_multi, fit_single, t_two_sided_p
+from thermocal.sources.params import (
+    SHIPPED_SINGLE, multi_params_frame, multi_params_rows, read_multi_params_json, read_single_params_json,
+    save_params, single_params_frame,
+)
+
+SCHEMA = "sample_id string, category string, room_temperature double, Right_final double, " \
+         "Left_final double, Difference double"
+
+
+def test_single_hand_point(spark):
+    df = spark.createDataFrame([("x", "1", 28.0, 0.05, 0.04, 0.01)], SCHEMA)
+    r = adjust_values(df, single_params_frame(spark), mode="single", target=23.0).first()
+    assert r["adjusted_right"] == pytest.approx(0.05 + (23 - 28) / SHIPPED_SINGLE[0][1])
+    assert round(r["adjusted_right"], 5) == -0.10184
+
+
+def test_single_roundtrip_identity(spark):
+    df = spark.createDataFrame([("x", "1", 28.0, 0.05, 0.04, 0.01)], SCHEMA)
+    a = adjust_values(df, single_params_frame(spark), mode="single", target=23.0)
+    back = adjust_values(a.select("sample_id", "category", F.lit(23.0).alias("room_temperature"),
+                                  F.col("adjusted_right").alias("Right_final"),
+                                  F.col("adjusted_left").alias("Left_final"), "Difference"),
+                         single_params_frame(spark), mode="single", target=28.0).first()
+    assert back["adjusted_right"] == pytest.approx(0.05)
+    assert back["adjusted_left"] == pytest.approx(0.04)
+
+
+def _lines(side="right"):
+    return multi_lines(multi_params_rows(), 23.0)[side]
+
+
+def _python_bracket(te, t, lines):
+    """Direct statement of the bracket rules, for comparison."""
+    vals = [k * t + b for _, k, b, _ in lines]
+    below = [i for i, v in enumerate(vals) if v < te]
+    above = [i for i, v in enumerate(vals) if v > te]
+    if below and above:
+        lo = max(below, key=lambda i: (vals[i], -i))
+        hi = min(above, key=lambda i: (vals[i], i))
+        l, u, L, U = vals[lo], vals[hi], lines[lo][3], lines[hi][3]
+        return L + (te - l) / (u - l) * (U - L)
+    if above:
+        return lines[min(range(len(vals)), key=lambda i: (vals[i], i))][3]
+    if below:
+        return lines[max(range(len(vals)), key=lambda i: (vals[i], -i))][3]
+    return lines[0][3]
+
+
+def _bracket(spark, rows, lines, threshold=None):
+    df = spark.createDataFrame(rows, "te double, t double")
+    return [r[0] for r in with_bracket(df, "te", "t", lines, "out").select("out").collect()]
+
+
+def test_multi_hand_point(spark):
+    got = _bracket(spark, [(0.03, 28.0)], _lines())[0]
+    assert round(got, 5) == -0.09629
+
+
+def test_multi_edges_generated_and_hof(spark):
+    lines = _lines()
+    t = 28.0
+    v = {i: k * t + b for i, k, b, _ in lines}
+    rows = [(v[0], t),            # equal to a line
+            (-5.0, t),            # below all
+            (5.0, t),             # above all
+            (0.03, 24.0), (0.01, 26.5), (-0.02, 33.0),
+            (None, t), (float("nan"), t), (0.03, float("nan"))]
+    expect = [_python_bracket(te, tt, lines) if te is not None and not math.isnan(te) and not math.isnan(tt)
+              else None for te, tt in rows]
+    got = _bracket(spark, rows, lines)
+    for g, e in zip(got, expect):
+        assert (g is None and e is None) or g == pytest.approx(e, rel=1e-12, abs=1e-15)
+    # the higher-order path (many categories) gives the same answers
+    import thermocal.operators.adjust as A
+    old = A.GENERATED_MAX_LINES
+    try:
+        A.GENERATED_MAX_LINES = 1
+        got = _bracket(spark, rows, lines)
+    finally:
+        A.GENERATED_MAX_LINES = old
+    for g, e in zip(got, expect):
+        assert (g is None and e is None) or g == pytest.approx(e, rel=1e-12, abs=1e-15)
+    assert GENERATED_MAX_LINES >= 17
+
+
+def test_multi_ties_and_degenerate(spark):
+    tied = [(0, 0.01, 0.0, 1.0), (1, 0.02, 0.0, 2.0), (2, 0.01, 0.0, 3.0), (3, 0.03, 0.0, 4.0)]
+    # at T=1: values .01 .02 .01 .03 ; reading .005 -> nothing below -> lowest (first of the tie: index 0)
+    assert _bracket(spark, [(0.005, 1.0)], tied)[0] == 1.0
+    # reading .05 -> nothing above -> highest -> index 3
+    assert _bracket(spark, [(0.05, 1.0)], tied)[0] == 4.0
+    # reading .015 -> below: .01 tie (indices 0, 2) -> index 0; above: .02 (index 1)
+    assert _bracket(spark, [(0.015, 1.0)], tied)[0] == pytest.approx(1.0 + 0.5 * (2.0 - 1.0))
+    same = [(0, 0.0, 0.5, 7.0), (1, 0.0, 0.5, 8.0)]
+    assert _bracket(spark, [(0.5, 1.0)], same)[0] == 7.0   # all lines equal the reading -> first
+    single = [(0, 0.01, 0.0, 9.0)]
+    assert _bracket(spark, [(0.5, 1.0), (-0.5, 1.0)], single) == [9.0, 9.0]
+
+
+def test_threshold_edges(spark):
+    nan = float("nan")
+    rows = [("a", "1", 25.0, 0.05, 0.04, 0.01), ("b", "1", 24.999, 0.05, 0.04, 0.01),
+            ("c", "1", 25.001, 0.05, 0.04, 0.01), ("d", "1", None, 0.05, 0.04, 0.01),
+            ("e", "1", nan, 0.05, 0.04, 0.01)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r["sample_id"]: r for r in apply_adjuster(df, single_params_frame(spark), mode="single").collect()}
+    assert [out[k]["Right_final"] for k in "abd"] == [0.05, 0.05, 0.05]
+    assert math.isnan(out["e"]["room_temperature"]) and out["e"]["Right_final"] == 0.05
+    assert out["c"]["room_temperature"] == 23.0
+    assert out["c"]["Difference"] == pytest.approx(out["c"]["Right_final"] - out["c"]["Left_final"])
+    with pytest.raises(Exception):
+        apply_adjuster(df.where("sample_id = 'a'"), single_params_frame(spark), mode="single", strict=True)
+
+
+def test_fit_edges(spark):
+    rows = [("a", 7, 20.0, 0.1, 0.1, 0.0), ("b", 8, 20.0, 0.1, 0.1, 0.0), ("c", 8, 20.0, 0.2, 0.1, 0.1),
+            ("d", 9, 20.0, 0.1, 0.1, 0.0), ("e", 9, 30.0, 0.4, 0.3, 0.1)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("category string", "category int"))
+    fit = {(r["side"], r["category"]): r for r in fit_multi(df).collect()}
+    assert fit[("right", "7")]["k"] is None          # one row
+    assert fit[("right", "8")]["k"] is None          # constant temperature
+    assert fit[("right", "9")]["k"] == pytest.approx(0.03)
+    assert fit[("right", "9")]["b"] == pytest.approx(0.1 - 0.6)
+    assert [r["category"] for r in categories(df).orderBy("ord").collect()] == ["7", "8", "9"]
+    # apply skips the NULL lines
+    out = apply_adjuster(df.withColumn("room_temperature", F.lit(30.0)), fit_multi(df), mode="multi")
+    assert out.count() == 5
+
+
+def test_single_fit_matches_formulas(spark):
+    rows = [(str(i), "1", 20.0 + i, 0.01 * i + 0.001 * (i % 3), 0.0, 0.0) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    r = {x["side"]: x for x in fit_single(df).collect()}["right"]
+    import numpy as np
+    x = np.array([0.01 * i + 0.001 * (i % 3) for i in range(20)])
+    y = np.array([20.0 + i for i in range(20)])
+    slope, icpt = np.polyfit(x, y, 1)
+    assert r["slope"] == pytest.approx(slope) and r["intercept"] == pytest.approx(icpt)
+    rr = np.corrcoef(x, y)[0, 1]
+    assert r["r_value"] == pytest.approx(rr)
+    assert r["std_err"] == pytest.approx(math.sqrt((1 - rr ** 2) * np.var(y) / np.var(x) / 18))
+    assert 0.0 <= r["p_value"] < 1e-10
+
+
+def test_t_tail():
+    # t = 2.0 with 10 dof -> two-sided p ~= 0.0734
+    r = 2.0 / math.sqrt(2.0 ** 2 + 10)
+    assert t_two_sided_p(r, 12) == pytest.approx(0.07338803, rel=1e-5)
+
+
+def test_params_roundtrip_and_reference_json(spark, scratch):
+    p = f"{scratch}/multi.json"
+    with open(p, "w") as f:
+        f.write('{"line_parm_right": {"1": [0.1, -0.5], "10": [0.2, -0.6]}, '
+                '"line_parm_left": {"1": [0.3, -0.7], "10": [0.4, -0.8]}, '
+                '"categories": ["1", "10"], "created_at": "x"}')
+    m = sorted(tuple(r) for r in read_multi_params_json(spark, p).collect())
+    assert m == sorted([("right", "1", 0, 0.1, -0.5), ("right", "10", 1, 0.2, -0.6),
+                        ("left", "1", 0, 0.3, -0.7), ("left", "10", 1, 0.4, -0.8)])
+    s = f"{scratch}/single.json"
+    with open(s, "w") as f:
+        f.write('{"right_slope": 2.0, "right_intercept": 1.0, "left_slope": 3.0, "left_intercept": 0.5}')
+    single = {r["side"]: r for r in read_single_params_json(spark, s).collect()}
+    assert single["left"]["slope"] == 3.0 and single["right"]["r_value"] is None
+    out = f"{scratch}/saved"
+    save_params(multi_params_frame(spark), out)
+    back = spark.read.schema(multi_params_frame(spark).schema).json(out)
+    assert back.count() == 34
+    with pytest.raises(Exception):
+        save_params(multi_params_frame(spark).limit(0), f"{scratch}/empty")
+
+
+def test_e6_plan_is_narrow(spark, sf_small):
+    from thermocal.plans import fixtures as fx
+    r = fx.readings(spark, sf_small)
+    out = apply_adjuster(r, multi_params_frame(spark), mode="multi")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan

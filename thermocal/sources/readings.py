@@ -37,6 +37,8 @@ def _format_of(path: str, fmt: str | None) -> str:
     ext = os.path.splitext(p)[1].lower()
     if ext in _FORMATS:
         return _FORMATS[ext]
+    if not ext:
+        return "parquet"  # a folder written by Spark: its default source
     raise InvalidInputError(f"cannot infer a format from '{path}'; pass fmt= (parquet, csv, json, orc)")
 
 
@@ -47,7 +49,7 @@ def read_table(spark: SparkSession, src, fmt: str | None = None,
         return src
     if not isinstance(src, str):
         raise TypeError(f"src must be a path, table name or DataFrame, got {type(src).__name__}")
-    if fmt is None and "/" not in src and "." not in os.path.basename(src):
+    if fmt is None and "/" not in src and "." not in src:
         return spark.table(src)
     fmt = _format_of(src, fmt)
     reader = spark.read.format(fmt)
