@@ -73,8 +73,6 @@ def read_readings(spark: SparkSession, src, fmt: str | None = None,
     Numeric reading columns become double; ``category`` (string or integer in
     the wild) becomes string once, so every later comparison is on strings.
     """
-    if schema is None and isinstance(src, str) and _maybe_text(src, fmt):
-        schema = READINGS_SCHEMA
     df = read_table(spark, src, fmt, schema)
     require_columns(df, list(required), "readings")
     casts = []
@@ -89,13 +87,6 @@ def read_readings(spark: SparkSession, src, fmt: str | None = None,
     return df.select(*casts)
 
 
-def _maybe_text(src: str, fmt: str | None) -> bool:
-    try:
-        return _format_of(src, fmt) in ("csv", "json")
-    except InvalidInputError:
-        return False
-
-
 def _category_string(c: Column, dtype) -> Column:
     # Integral floats ("1.0") would never match "1": print them as integers.
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
