@@ -44,11 +44,13 @@ def test_split_repeatable_under_repartition(spark, readings):
     assert a == b
 
 
-def test_refinement_path_is_exact(spark, readings):
-    # max_exact=1 forces every refinement level down to single-row buckets
+@pytest.mark.parametrize("collect_max", [1, 10])
+def test_refinement_and_fallback_are_exact(spark, readings, collect_max):
+    # collect_max=1 refines to the full hash and then ranks by the window fallback;
+    # collect_max=10 refines one level and pins the cuts from fetched keys
     n = readings.count()
     cuts = [1, 17, n // 3, n - 1]
-    got = {r["sample_id"]: r["g"] for r in rank_groups(readings, cuts, max_exact=1, out_col="g")
+    got = {r["sample_id"]: r["g"] for r in rank_groups(readings, cuts, collect_max=collect_max, out_col="g")
            .select("sample_id", "g").collect()}
     assert got == _expected_groups(readings.select("sample_id").toPandas(), cuts)
 

@@ -27,8 +27,9 @@ from thermocal.errors import InvalidInputError
 from thermocal.schema import KEY
 from thermocal.sources.readings import require_columns
 
-PREFIX_HEX = 4            # hex digits added per refinement level (65,536 buckets)
-MAX_EXACT = 2_000_000     # boundary rows ranked exactly by the window
+PREFIX_HEX = 3            # hex digits added per refinement level (4,096 buckets per level)
+COLLECT_MAX = 100_000     # boundary keys brought to the driver to pin each cut exactly
+MAX_EXACT = 2_000_000     # fallback: boundary rows ranked by a window partitioned by bucket
 
 
 def order_hash(key_col: str, seed: int) -> Column:
@@ -45,100 +46,114 @@ def _histogram(df: DataFrame, length: int, within: list[str] | None, prev_len: i
     return {r["p"]: r["n"] for r in rows}
 
 
-def _locate(hist: dict[str, int], base: int, ranks: list[int]) -> tuple[dict, dict]:
-    """For each rank: (prefix, offset before it, clean-end flag) within a sorted histogram."""
-    found, ends = {}, {}
+def _locate(hist: dict[str, int], base: int, rank: int) -> tuple[str, int, bool]:
+    """(bucket holding the rank, rows before that bucket, rank is the bucket's last row)."""
     acc = base
-    keys = sorted(hist)
-    i = 0
-    for r in sorted(ranks):
-        while i < len(keys) and acc + hist[keys[i]] < r:
-            acc += hist[keys[i]]
-            i += 1
-        if i == len(keys):
-            raise InvalidInputError(f"rank {r} beyond the table")
-        found[r] = (keys[i], acc)
-        ends[r] = acc + hist[keys[i]] == r
-    return found, ends
+    for k in sorted(hist):
+        if acc + hist[k] >= rank:
+            return k, acc, acc + hist[k] == rank
+        acc += hist[k]
+    raise InvalidInputError(f"rank {rank} beyond the table")
 
 
 def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
-                out_col: str = "group", max_exact: int = MAX_EXACT) -> DataFrame:
-    """Group index = number of cut ranks a row's rank exceeds (rank 1 = smallest hash).
+                out_col: str = "group", max_exact: int = MAX_EXACT, collect_max: int = COLLECT_MAX) -> DataFrame:
+    """Group index = number of cut ranks a row's rank exceeds (rank 1 = smallest (hash, key)).
 
     ``cut_ranks`` are cumulative sizes, e.g. [n_test] for a split or the fold
     boundaries for k-fold, or a function of the row count returning them (the
-    count then comes from the first histogram, saving a job). Costs one or two
-    small histogram jobs up front.
+    count then comes from the first histogram, saving a job).
+
+    Jobs: one histogram, refinements only while the boundary buckets hold
+    more than ``collect_max`` rows, one scan that fetches the boundary keys
+    (at most ``collect_max`` short strings, checked from the histogram before
+    fetching). The cut keys found that way make the assignment a single
+    projection: ``(hash, key) > cut key``. Keys must be unique for exact sizes;
+    duplicated keys (identical hash and key) fall on one side of a cut.
     """
     require_columns(df, [key_col], "split")
     h = df.withColumn("__h", order_hash(key_col, seed))
-    hist1 = _histogram(h, PREFIX_HEX, None, 0)
-    n = sum(hist1.values())
+    hist = _histogram(h, PREFIX_HEX, None, 0)
+    n = sum(hist.values())
     cuts = sorted(set(int(r) for r in (cut_ranks(n) if callable(cut_ranks) else cut_ranks)))
     always = sum(1 for r in cuts if r <= 0)
     inner = [r for r in cuts if 0 < r < n]
-    # state per cut: (prefix, offset, clean)
-    state: dict[int, tuple[str, int, bool]] = {}
-    pending = list(inner)
-    length, parent, bases = PREFIX_HEX, None, {r: 0 for r in inner}
-    prev_len = 0
-    while pending:
-        within = None if parent is None else sorted({parent[r] for r in pending})
-        hist = hist1 if parent is None else _histogram(h, length, within, prev_len)
-        new_pending, new_parent = [], {}
-        # cuts are located inside their own parent bucket (offset = parent offset)
-        for r in pending:
-            sub = hist if parent is None else {k: v for k, v in hist.items() if k.startswith(parent[r])}
-            found, ends = _locate(sub, bases[r], [r])
-            (pref, off), clean = found[r], ends[r]
-            state[r] = (pref, off, clean)
-            if not clean:
-                new_parent[r] = pref
-                bases[r] = off
-        boundary = {state[r][0] for r in new_parent}
-        boundary_rows = sum(hist[p] for p in boundary)
-        if boundary_rows > max_exact and length < 32:
-            new_pending = list(new_parent)
-            parent, prev_len, length = new_parent, length, length + PREFIX_HEX
-        pending = new_pending
-
-    def pref_of(c: Column, p: str) -> Column:
-        return F.substring(c, 1, len(p))
-
+    # cut -> (bucket prefix, rows before the bucket, cut at the bucket's end)
+    state = {r: _locate(hist, 0, r) for r in inner}
+    length = PREFIX_HEX
+    while True:
+        open_cuts = [r for r in inner if not state[r][2]]
+        buckets = sorted({state[r][0] for r in open_cuts})
+        rows_in = sum(hist.get(b, 0) for b in buckets)
+        if rows_in <= collect_max or length >= 32:
+            break
+        nxt = _histogram(h, length + PREFIX_HEX, buckets, length)
+        for r in open_cuts:
+            pref, off, _ = state[r]
+            sub = {k: v for k, v in nxt.items() if k.startswith(pref)}
+            state[r] = _locate(sub, off, r)
+        hist, length = nxt, length + PREFIX_HEX
+
+    hc, kc = F.col("__h"), F.col(f"`{key_col}`").cast("string")
+    cols = list(df.columns)
+
+    def prefix_above(pref: str) -> Column:
+        return F.substring(hc, 1, len(pref)) > F.lit(pref)
+
+    open_cuts = [r for r in inner if not state[r][2]]
+    if open_cuts and rows_in > collect_max:
+        return _window_fallback(h, cols, inner, state, always, key_col, out_col)
+    thresholds: dict[int, tuple[str, str]] = {}
+    if open_cuts:
+        buckets = sorted({state[r][0] for r in open_cuts})
+        keys = (h.where(F.substring(hc, 1, length).isin(buckets))
+                .select(hc.alias("h"), kc.alias("k")).collect())
+        keys = sorted((r["h"], r["k"]) for r in keys)
+        for r in open_cuts:
+            pref, off, _ = state[r]
+            in_bucket = [x for x in keys if x[0].startswith(pref)]
+            thresholds[r] = in_bucket[r - off - 1]
+    g = F.lit(always)
+    for r in inner:
+        if r in thresholds:
+            th, tk = thresholds[r]
+            above = (hc > F.lit(th)) | ((hc == F.lit(th)) & (kc > F.lit(tk)))
+        else:
+            above = prefix_above(state[r][0])
+        g = g + above.cast("int")
+    return h.select(*cols, g.cast("int").alias(out_col))
+
+
+def _window_fallback(h: DataFrame, cols, inner, state, always, key_col, out_col) -> DataFrame:
+    """Boundary buckets too large to fetch (massively duplicated keys): rank them
+    with a window partitioned by bucket and union them with the bulk rows."""
     hc = F.col("__h")
-    exact = {r: s for r, s in state.items() if not s[2]}
-    boundary_prefixes = sorted({s[0] for s in exact.values()})
-    in_boundary = F.lit(False)
-    for p in boundary_prefixes:
-        in_boundary = in_boundary | (pref_of(hc, p) == F.lit(p))
+    exact = {r: state[r] for r in inner if not state[r][2]}
+    prefixes = sorted({s[0] for s in exact.values()})
+    plen = len(prefixes[0])
+    pcol = F.substring(hc, 1, plen)
+    in_boundary = pcol.isin(prefixes)
 
-    def group_expr(rank: Column | None) -> Column:
+    def group_expr(rank):
         g = F.lit(always)
         for r in inner:
             pref, off, clean = state[r]
-            above = pref_of(hc, pref) > F.lit(pref)
+            above = F.substring(hc, 1, len(pref)) > F.lit(pref)
             if not clean and rank is not None:
-                above = F.when(pref_of(hc, pref) == F.lit(pref), rank > F.lit(r)).otherwise(above)
+                above = F.when(F.substring(hc, 1, len(pref)) == F.lit(pref), rank > F.lit(r)).otherwise(above)
             g = g + above.cast("int")
         return g.cast("int")
 
-    cols = [c for c in df.columns]
     bulk = h.where(~in_boundary).select(*cols, group_expr(None).alias(out_col))
-    if not boundary_prefixes:
-        return bulk
-    # Offsets of each boundary bucket (rows before it), known from the histograms.
-    offsets = {s[0]: s[1] for s in exact.values()}
-    bucket = F.lit(None).cast("string")
-    off = F.lit(None).cast("bigint")
-    for p in boundary_prefixes:
-        bucket = F.when(pref_of(hc, p) == F.lit(p), F.lit(p)).otherwise(bucket)
-        off = F.when(pref_of(hc, p) == F.lit(p), F.lit(offsets[p])).otherwise(off)
-    b = h.where(in_boundary).withColumn("__b", bucket).withColumn("__off", off)
+    offsets = F.create_map(*[x for p in prefixes for x in (F.lit(p), F.lit(exact_offset(exact, p)))])
+    b = h.where(in_boundary).withColumn("__b", pcol).withColumn("__off", offsets[pcol])
     w = Window.partitionBy("__b").orderBy("__h", F.col(f"`{key_col}`"))
     ranked = b.withColumn("__rank", F.col("__off") + F.row_number().over(w))
-    edge = ranked.select(*cols, group_expr(F.col("__rank")).alias(out_col))
-    return bulk.unionByName(edge)
+    return bulk.unionByName(ranked.select(*cols, group_expr(F.col("__rank")).alias(out_col)))
+
+
+def exact_offset(exact, prefix):
+    return next(s[1] for s in exact.values() if s[0] == prefix)
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.15, seed: int = 42, key_col: str = KEY,
