@@ -106,3 +106,17 @@ def test_rows_to_frame(spark):
         rows_to_frame(spark, [0.1, 0.05])
     with pytest.raises(MissingColumnsError):
         require_columns(one, ["nope"])
+
+
+def test_blend_tables_matches_and_rejects_unmatched(spark):
+    from thermocal.operators.blend import blend_tables
+    a = spark.createDataFrame([("k1", 12.0), ("k2", 8.0)], "sample_id string, Predicted double")
+    b = spark.createDataFrame([("k1", 11.0), ("k2", 20.0)], "sample_id string, MLP_Predicted double")
+    out = {r["sample_id"]: r["Ensemble_Predicted"] for r in blend_tables(a, b).collect()}
+    assert out["k1"] == 12.0 and round(out["k2"], 3) == 2.285
+    c = spark.createDataFrame([("k1", 11.0)], "sample_id string, MLP_Predicted double")
+    with pytest.raises(Exception):
+        blend_tables(a, c).collect()
+    d = spark.createDataFrame([("k1", 11.0), ("k1", 1.0), ("k2", 2.0)], "sample_id string, MLP_Predicted double")
+    with pytest.raises(InvalidInputError):
+        blend_tables(a, d, check_unique=True)

@@ -429,3 +429,41 @@ def q_log10_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pow10_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = log10_target(fx.readings(spark, sf_dir))
     return rounded(inverse_log10(d, "log_target", "target_back").select("sample_id", "target_back"))
+
+
+# --- J1 / S3 / K4 / V2 ------------------------------------------------------------------------
+
+from thermocal.operators.blend import blend_tables  # noqa: E402
+from thermocal.operators.metrics import missing_actual_count  # noqa: E402
+from thermocal.session import scratch_path  # noqa: E402
+from thermocal.sources.params import read_params, save_params  # noqa: E402
+
+
+@query("blend_two_tables", with_views(
+    "SELECT sample_id, " + _r6("Predicted", "Predicted") + ", " + _r6("MLP_Predicted", "MLP_Predicted") + ", "
+    + _r6(_BLEND, "Ensemble_Predicted") + " FROM blend_pairs", "blend_pairs"))
+def q_blend_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two models' predictions as two tables, matched by key, then blended."""
+    bp = fx.blend_pairs(spark, sf_dir)
+    out = blend_tables(bp.select("sample_id", "Predicted"), bp.select("sample_id", "MLP_Predicted"))
+    return rounded(out)
+
+
+@query("params_roundtrip", with_views(
+    "SELECT side, category, ord, " + sql_round("k", 9) + " AS k, " + sql_round("b", 9) + " AS b FROM multi_fit",
+    extra=MULTI_FIT_CTES))
+def q_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 then S3: fitted per-category lines written as JSON under the checkpoint folder, read back."""
+    path = scratch_path(spark, "multi-params")
+    save_params(fit_multi(fx.readings(spark, sf_dir)).drop("n"), path, fmt="json")
+    back = read_params(spark, path, "multi")
+    return back.select("side", "category", "ord", round_half(F.col("k"), 9).alias("k"),
+                       round_half(F.col("b"), 9).alias("b"))
+
+
+@query("metrics_missing_actual", with_views(
+    "SELECT CAST(count(*) FILTER (WHERE c IS NULL OR isnan(c)) AS BIGINT) AS missing_actual, "
+    "CAST(count(*) AS BIGINT) AS rows FROM predictions", "predictions"))
+def q_metrics_missing_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: missing actual values are counted (column c used as the actual)."""
+    return missing_actual_count(fx.predictions(spark, sf_dir), "c")
