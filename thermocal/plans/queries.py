@@ -303,6 +303,13 @@ SHIPPED_LINES_CTE = ("shipped_lines AS (SELECT * FROM (VALUES "
 _JOINED = "readings JOIN br_right USING (sample_id) JOIN br_left USING (sample_id)"
 
 
+def _tune(spark: SparkSession) -> None:
+    """The category-bracket stage is larger than HotSpot's JIT limit; let Spark
+    split it rather than run it un-JIT'd (only when the session has no setting)."""
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 @query("te_multi_apply", with_views(
     "SELECT sample_id, " + _r6(_bracket_value("right"), "adjusted_right") + ", "
     + _r6(_bracket_value("left"), "adjusted_left") + ", 23e0 AS adjusted_temperature FROM " + _JOINED,
@@ -310,6 +317,7 @@ _JOINED = "readings JOIN br_right USING (sample_id) JOIN br_left USING (sample_i
            _bracket_cte("left", "Left_final", "shipped_lines")]))
 def q_te_multi_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 / E5 with the shipped per-category lines on every reading (bracket search J2)."""
+    _tune(spark)
     out = adjust_values(fx.readings(spark, sf_dir), multi_params_frame(spark), mode="multi", target=23.0)
     return rounded(out.select("sample_id", "adjusted_right", "adjusted_left", "adjusted_temperature"))
 
@@ -320,6 +328,7 @@ def q_te_multi_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
            _bracket_cte("left", "Left_final", "multi_fit")]))
 def q_te_multi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + E6 end to end: per-category fit, then correct every hot reading."""
+    _tune(spark)
     r = fx.readings(spark, sf_dir)
     return rounded(apply_adjuster(r, fit_multi(r), mode="multi", threshold=25.0, target=23.0))
 

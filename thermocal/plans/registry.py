@@ -24,16 +24,17 @@ def query(name: str, oracle: str | None = None):
 
 
 def round_half(c, digits: int = 6):
-    """round(x * 10^d) / 10^d: scaling first makes the rounding identical in
-    Spark and DuckDB (a scaled double rounds the same way in both)."""
+    """rint(x * 10^d) / 10^d: rounding the scaled double half-to-even is the
+    same operation in Spark (``Math.rint``) and DuckDB (``round_even``), and it
+    stays inside generated code (no decimal conversion)."""
     scale = float(10 ** digits)
     # "+ 0.0" turns a negative zero into zero, so both engines print and hash it alike.
-    return F.round(c * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
+    return F.rint(c * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
 def sql_round(expr: str, digits: int = 6) -> str:
     """DuckDB twin of :func:`round_half`."""
-    return f"(round(CAST({expr} AS DOUBLE) * 1e{digits}) / 1e{digits} + 0e0)"
+    return f"(round_even(CAST({expr} AS DOUBLE) * 1e{digits}, 0) / 1e{digits} + 0e0)"
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
