@@ -259,3 +259,28 @@ def adjust_values(df: DataFrame, params, mode: str = "multi", target: float = DE
         out = with_multi_adjusted(df, multi_lines(params, target), temp_col, right_col, left_col,
                                   out=("adjusted_right", "adjusted_left"))
     return out.withColumn("adjusted_temperature", F.lit(float(target)))
+
+
+def make_adjuster(spark, mode: str = "multi", fit_data=None, params=None, save_to: str | None = None):
+    """Parameters from exactly one source — readings to fit on, or a
+    parameter table / file (parquet, our JSON, or the reference's JSON documents).
+    Optionally saves fitted parameters (K4). Returns the parameter DataFrame."""
+    from thermocal.sources.params import read_multi_params_json, read_params, read_single_params_json, save_params
+    from thermocal.sources.readings import read_readings
+    if (fit_data is None) == (params is None):
+        raise InvalidInputError("give exactly one of fit_data (to fit) or params (to load)")
+    if fit_data is not None:
+        p = fit_adjuster(read_readings(spark, fit_data, required=[TEMPERATURE, RIGHT, LEFT]), mode)
+        if save_to:
+            save_params(p, save_to)
+        return p
+    if isinstance(params, DataFrame):
+        return params
+    if params.rstrip("/").endswith(".json"):
+        head = spark.read.text(params).limit(50).collect()
+        text = "".join(r[0] for r in head)
+        if "line_parm_right" in text:
+            return read_multi_params_json(spark, params)
+        if "right_slope" in text:
+            return read_single_params_json(spark, params)
+    return read_params(spark, params, mode)

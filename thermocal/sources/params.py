@@ -185,7 +185,9 @@ def read_params(spark: SparkSession, path: str, kind: str) -> DataFrame:
     schema = {"single": SINGLE_SCHEMA, "multi": MULTI_SCHEMA, "poly": POLY_SCHEMA}[kind]
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema).json(path)
+    # one document per file (pretty-printed, as the reference writes them) or JSON lines
+    multi = path.rstrip("/").endswith(".json")
+    return spark.read.schema(schema).option("multiLine", multi).json(path)
 
 
 def save_params(params: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> str:
