@@ -60,3 +60,13 @@ def test_kfold_sizes(spark, readings):
     folds = kfold(readings, 5, 42).groupBy("fold").count().orderBy("fold").collect()
     assert [r["count"] for r in folds] == fold_sizes(n, 5)
     assert fold_sizes(11, 5) == [3, 2, 2, 2, 2]
+
+
+def test_fast_split_is_close_and_stable(spark, readings):
+    n = readings.count()
+    a = train_test_split(readings, 0.15, 42, exact=False)
+    t = a.where("split = 'test'").count()
+    assert abs(t - 0.15 * n) < 5 * (0.15 * 0.85 * n) ** 0.5
+    b = train_test_split(readings.repartition(3), 0.15, 42, exact=False)
+    assert a.where("split = 'test'").select("sample_id").exceptAll(
+        b.where("split = 'test'").select("sample_id")).count() == 0

@@ -41,3 +41,18 @@ def test_sinks_and_sources(spark, sf_small, scratch):
     assert back.count() == r.count()
     # csv read with inferred types: numeric reading columns come back as double
     assert dict(back.dtypes)["Right_final"] == "double"
+
+
+def test_stream_scoring_equals_batch(spark, sf_small, scratch):
+    from thermocal.functions.poly import poly_powers, poly_predict
+    from thermocal.sources.params import SHIPPED_POLY
+    from thermocal.streaming import score_stream
+    src = f"{scratch}/in2"
+    fx.readings(spark, sf_small).write.parquet(src)
+    scorer = lambda d: d.withColumn("predicted", poly_predict(FEATURES, poly_powers(4, 2), *SHIPPED_POLY[2]))
+    stream = score_stream(read_readings_stream(spark, src), scorer)
+    q = write_stream(stream, f"{scratch}/out2", f"{scratch}/ckpt2", trigger_once=True)
+    q.awaitTermination(120)
+    got = spark.read.parquet(f"{scratch}/out2")
+    want = scorer(spark.read.parquet(src))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()

@@ -157,10 +157,21 @@ def exact_offset(exact, prefix):
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.15, seed: int = 42, key_col: str = KEY,
-                     split_col: str = "split") -> DataFrame:
-    """Exactly ceil(n * test_size) rows labelled 'test', the rest 'train'."""
+                     split_col: str = "split", exact: bool = True) -> DataFrame:
+    """Exactly ceil(n * test_size) rows labelled 'test', the rest 'train'.
+
+    ``exact=False`` is the fast mode: a row is 'test' when the first 32 bits of
+    its hash fall below ``test_size`` of the range — one projection, no job, the
+    same membership rule for every row, a test size within sampling error of
+    ``test_size * n``.
+    """
     if not 0.0 < test_size < 1.0:
         raise InvalidInputError("test_size must be in (0, 1)")
+    if not exact:
+        require_columns(df, [key_col], "split")
+        bits = F.conv(F.substring(order_hash(key_col, seed), 1, 8), 16, 10).cast("bigint")
+        return df.withColumn(split_col, F.when(bits < F.lit(int(test_size * 2 ** 32)), F.lit("test"))
+                             .otherwise(F.lit("train")))
     g = rank_groups(df, lambda n: [math.ceil(n * test_size)], key_col, seed, "__g")
     return g.withColumn(split_col, F.when(F.col("__g") == 0, F.lit("test")).otherwise(F.lit("train"))).drop("__g")
 
