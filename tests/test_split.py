@@ -70,3 +70,28 @@ def test_fast_split_is_close_and_stable(spark, readings):
     b = train_test_split(readings.repartition(3), 0.15, 42, exact=False)
     assert a.where("split = 'test'").select("sample_id").exceptAll(
         b.where("split = 'test'").select("sample_id")).count() == 0
+
+
+@pytest.mark.parametrize("collect_max", [100_000, 10])
+def test_hot_duplicate_key_is_split_exactly(spark, readings, collect_max):
+    # a third of the rows share one sample_id: sizes must stay exact, and no
+    # row may be lost or duplicated
+    n = readings.count()
+    hot = readings.withColumn(
+        "sample_id", F.when(F.col("category").isin("1", "2", "3", "4", "5", "6"), F.lit("HOT"))
+        .otherwise(F.col("sample_id"))).repartition(4)
+    n_hot = hot.where("sample_id = 'HOT'").count()
+    assert n_hot > n // 4
+    cuts = lambda m: [m // 5, 2 * m // 5, 3 * m // 5, 4 * m // 5]
+    out = rank_groups(hot, cuts, collect_max=collect_max, out_col="g").cache()
+    sizes = [r["count"] for r in out.groupBy("g").count().orderBy("g").collect()]
+    assert sizes == [n // 5, 2 * n // 5 - n // 5, 3 * n // 5 - 2 * n // 5, 4 * n // 5 - 3 * n // 5,
+                     n - 4 * n // 5]
+    assert out.count() == n
+    # the non-hot rows keep their hash order relative to each other
+    pdf = out.where("sample_id <> 'HOT'").select("sample_id", "g").toPandas()
+    import hashlib
+    pdf["h"] = pdf["sample_id"].map(lambda s: hashlib.md5(f"{s}|42".encode()).hexdigest())
+    pdf = pdf.sort_values(["h", "sample_id"])
+    assert list(pdf["g"]) == sorted(pdf["g"])
+    out.unpersist()

@@ -6,15 +6,17 @@ so a recomputed partition (lost executor) lands in the same split. Exact
 sizes need global ranks only at the cut points, found without sorting the
 table and without a single-partition window:
 
-1. histogram of a 16-bit hash prefix (partial aggregation; <= 65,536 rows
+1. histogram of a 12-bit hash prefix (partial aggregation; <= 4,096 rows
    reach the driver) -> the bucket holding each cut rank;
-2. while the boundary buckets hold more than ``max_exact`` rows, refine them
-   with the next 16 bits (the same bounded histogram);
-3. only the rows inside boundary buckets are ranked, with a window
-   partitioned by bucket; every other row is placed by comparing its prefix.
-
-The result is the input plus an assignment column; the two scans (bulk and
-boundary rows) are unioned, so no row is dropped, duplicated or joined.
+2. while the boundary buckets hold more than ``collect_max`` rows, refine them
+   with the next 12 bits (the same bounded histogram);
+3. fetch the boundary buckets' keys (bounded and checked first) and pin each
+   cut to one key; every row is then assigned in a single projection by
+   comparing its (hash, key) with the cut keys.
+
+Only a cut inside a large group of identical keys takes another route: that
+group is ranked by position, partition by partition (``_window_fallback``).
+No row is dropped or duplicated.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from pyspark.sql import functions as F
 
 from thermocal.errors import InvalidInputError
 from thermocal.schema import KEY
+from thermocal.session import checkpoint_dir
 from thermocal.sources.readings import require_columns
 
 PREFIX_HEX = 3            # hex digits added per refinement level (4,096 buckets per level)
 COLLECT_MAX = 100_000     # boundary keys brought to the driver to pin each cut exactly
-MAX_EXACT = 2_000_000     # fallback: boundary rows ranked by a window partitioned by bucket
 
 
 def order_hash(key_col: str, seed: int) -> Column:
@@ -57,7 +59,7 @@ def _locate(hist: dict[str, int], base: int, rank: int) -> tuple[str, int, bool]
 
 
 def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
-                out_col: str = "group", max_exact: int = MAX_EXACT, collect_max: int = COLLECT_MAX) -> DataFrame:
+                out_col: str = "group", collect_max: int = COLLECT_MAX) -> DataFrame:
     """Group index = number of cut ranks a row's rank exceeds (rank 1 = smallest (hash, key)).
 
     ``cut_ranks`` are cumulative sizes, e.g. [n_test] for a split or the fold
@@ -68,8 +70,10 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
     more than ``collect_max`` rows, one scan that fetches the boundary keys
     (at most ``collect_max`` short strings, checked from the histogram before
     fetching). The cut keys found that way make the assignment a single
-    projection: ``(hash, key) > cut key``. Keys must be unique for exact sizes;
-    duplicated keys (identical hash and key) fall on one side of a cut.
+    projection: ``(hash, key) > cut key``. When a cut falls inside a group of
+    rows sharing one key that is too large to fetch (a duplicated key holding a
+    large share of the table), the group is ranked by position, partition by
+    partition (see ``_window_fallback``); sizes stay exact.
     """
     require_columns(df, [key_col], "split")
     h = df.withColumn("__h", order_hash(key_col, seed))
@@ -103,16 +107,28 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
     open_cuts = [r for r in inner if not state[r][2]]
     if open_cuts and rows_in > collect_max:
         return _window_fallback(h, cols, inner, state, always, key_col, out_col)
+    if open_cuts and length >= 32 and any(hist.get(state[r][0], 0) > 1 for r in open_cuts):
+        # a cut inside a group of identical keys: key comparison cannot split it
+        return _window_fallback(h, cols, inner, state, always, key_col, out_col)
     thresholds: dict[int, tuple[str, str]] = {}
     if open_cuts:
         buckets = sorted({state[r][0] for r in open_cuts})
         keys = (h.where(F.substring(hc, 1, length).isin(buckets))
                 .select(hc.alias("h"), kc.alias("k")).collect())
         keys = sorted((r["h"], r["k"]) for r in keys)
+        ties = False
+        full: dict[int, tuple[str, int, bool]] = {}
         for r in open_cuts:
             pref, off, _ = state[r]
             in_bucket = [x for x in keys if x[0].startswith(pref)]
-            thresholds[r] = in_bucket[r - off - 1]
+            i = r - off - 1
+            thresholds[r] = in_bucket[i]
+            ties |= i + 1 < len(in_bucket) and in_bucket[i + 1] == in_bucket[i]
+            first = next(j for j, x in enumerate(in_bucket) if x == in_bucket[i])
+            full[r] = (in_bucket[i][0], off + first, False)
+        if ties:
+            # a cut inside a run of identical keys: rank that run by position
+            return _window_fallback(h, cols, inner, {**state, **full}, always, key_col, out_col)
     g = F.lit(always)
     for r in inner:
         if r in thresholds:
@@ -125,14 +141,30 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
 
 
 def _window_fallback(h: DataFrame, cols, inner, state, always, key_col, out_col) -> DataFrame:
-    """Boundary buckets too large to fetch (massively duplicated keys): rank them
-    with a window partitioned by bucket and union them with the bulk rows."""
+    """Cuts inside groups of rows sharing one key (a duplicated ``sample_id``,
+    possibly a third of the table). Rows of such a group are interchangeable
+    for the order, so they are ranked by position: counted per input
+    partition, offset by the counts of earlier partitions, numbered inside
+    their own partition. The boundary rows, tagged with their partition and
+    position, are first written with ``checkpoint()`` to the shared checkpoint
+    folder, so counting and numbering read the same durable values (a
+    recomputation after a lost executor, or a differently pruned plan, could
+    otherwise place rows differently). No task holds more than one input
+    partition's share of a hot group; the count table has at most one row per
+    partition and group (broadcast, bounded by the partition count)."""
     hc = F.col("__h")
     exact = {r: state[r] for r in inner if not state[r][2]}
     prefixes = sorted({s[0] for s in exact.values()})
-    plen = len(prefixes[0])
-    pcol = F.substring(hc, 1, plen)
-    in_boundary = pcol.isin(prefixes)
+    in_boundary = hc.isin(prefixes)
+    base = F.create_map(*[x for p in prefixes
+                          for x in (F.lit(p), F.lit(next(s[1] for s in exact.values() if s[0] == p)))])
+    checkpoint_dir(h.sparkSession)
+    edge_rows = (h.where(in_boundary).withColumn("__pid", F.spark_partition_id())
+                 .withColumn("__pos", F.monotonically_increasing_id()).checkpoint(eager=True))
+    counts = edge_rows.groupBy("__h", "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__h").orderBy("__pid")
+                               .rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("__h", "__pid", F.coalesce(before, F.lit(0)).alias("__start"))
 
     def group_expr(rank):
         g = F.lit(always)
@@ -145,15 +177,12 @@ def _window_fallback(h: DataFrame, cols, inner, state, always, key_col, out_col)
         return g.cast("int")
 
     bulk = h.where(~in_boundary).select(*cols, group_expr(None).alias(out_col))
-    offsets = F.create_map(*[x for p in prefixes for x in (F.lit(p), F.lit(exact_offset(exact, p)))])
-    b = h.where(in_boundary).withColumn("__b", pcol).withColumn("__off", offsets[pcol])
-    w = Window.partitionBy("__b").orderBy("__h", F.col(f"`{key_col}`"))
-    ranked = b.withColumn("__rank", F.col("__off") + F.row_number().over(w))
-    return bulk.unionByName(ranked.select(*cols, group_expr(F.col("__rank")).alias(out_col)))
-
-
-def exact_offset(exact, prefix):
-    return next(s[1] for s in exact.values() if s[0] == prefix)
+    w = Window.partitionBy("__h", "__pid").orderBy("__pos")
+    numbered = edge_rows.withColumn("__i", F.row_number().over(w))
+    edge = (numbered.join(F.broadcast(starts), ["__h", "__pid"])
+            .withColumn("__rank", base[hc] + F.col("__start") + F.col("__i"))
+            .select(*cols, group_expr(F.col("__rank")).alias(out_col)))
+    return bulk.unionByName(edge)
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.15, seed: int = 42, key_col: str = KEY,
