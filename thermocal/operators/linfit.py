@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -160,13 +160,29 @@ def fit_multi(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGHT
                  _slope(p).alias("k"),
                  (F.col(f"{p}my") - _slope(p) * F.col(f"{p}mx")).alias("b"))
         for side, p in (("right", "r_"), ("left", "l_"))])
-    ranked = per_cat.withColumn("ord", (F.row_number().over(Window.orderBy("category")) - 1).cast("int"))
+    ranked = per_cat.withColumn("ord", _ordinal(per_cat.select("category")))
     return ranked.select("category", "ord", F.inline(per_side)).select(
         "side", "category", "ord", "n", "k", "b")
 
 
+# Upper bound on the number of categories (the multi adjuster inlines one line per category).
+MAX_CATEGORIES = 100_000
+
+
+def _ordinal(cats: DataFrame) -> Column:
+    """Position of each category in string order, as a literal map built from the
+    distinct categories (collected after a size check; no global window)."""
+    names = sorted(r[0] for r in cats.distinct().limit(MAX_CATEGORIES + 1).collect())
+    if len(names) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories")
+    if not names:
+        return F.lit(None).cast("int")
+    m = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.lit(i))])
+    return m[F.col("category")].cast("int")
+
+
 def categories(df: DataFrame, category_col: str = CATEGORY) -> DataFrame:
     """Distinct categories as strings, in string order, with their position."""
     c = F.col(f"`{category_col}`").cast("string")
     d = df.select(c.alias("category")).where(F.col("category").isNotNull()).distinct()
-    return d.withColumn("ord", (F.row_number().over(Window.orderBy("category")) - 1).cast("int"))
+    return d.withColumn("ord", _ordinal(d))
