@@ -8,16 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermocal.functions.expr import ensemble_predict, sigmoid_weight
-from thermocal.functions.poly import poly_powers, poly_predict, poly_predict_sql, poly_terms
-from thermocal.operators.checks import row_counts
-from thermocal.operators.metrics import regression_metrics
+from thermocal.functions.poly import (
+    poly_feature_names, poly_powers, poly_predict, poly_predict_sql, poly_terms,
+)
+from thermocal.operators.adjust import adjust_values, apply_adjuster
+from thermocal.operators.blend import blend_tables
+from thermocal.operators.checks import row_counts, split_summary
+from thermocal.operators.linfit import categories, fit_multi, fit_single
+from thermocal.operators.metrics import missing_actual_count, regression_metrics
+from thermocal.operators.scaling import fit_scaler, inverse_log10, log10_target, standardize
+from thermocal.operators.split import kfold, train_test_split
 from thermocal.plans import fixtures as fx
 from thermocal.plans.fixtures import with_views
-from thermocal.plans.registry import ORACLE, QUERIES, query, rounded, sql_round
+from thermocal.plans.registry import ORACLE, QUERIES, query, round_half, rounded, sql_round
 from thermocal.schema import FEATURES, TARGET
-from thermocal.sources.params import SHIPPED_POLY
+from thermocal.session import scratch_path
+from thermocal.sources.params import (
+    SHIPPED_POLY, SHIPPED_SINGLE, multi_params_frame, multi_params_rows, read_params, save_params,
+    single_params_frame,
+)
 from thermocal.sources.readings import array_to_columns, read_readings
 
+
 def _r6(expr: str, name: str) -> str:
     return f"{sql_round(expr)} AS {name}"
 
@@ -116,7 +128,6 @@ def q_poly_score_d2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _poly_expand_sql(degree: int) -> str:
-    from thermocal.functions.poly import poly_feature_names
     pw = poly_powers(len(FEATURES), degree)
     names = poly_feature_names(FEATURES, pw)
     cols = []
@@ -162,12 +173,6 @@ __all__ = ["QUERIES", "ORACLE"]
 
 # --- A5 / E1 / E2 / E6 (single adjuster) -------------------------------------------------
 
-from thermocal.operators.adjust import adjust_values, apply_adjuster  # noqa: E402
-from thermocal.operators.linfit import categories, fit_multi, fit_single  # noqa: E402
-from thermocal.plans.registry import round_half  # noqa: E402
-from thermocal.sources.params import (  # noqa: E402
-    SHIPPED_SINGLE, multi_params_frame, multi_params_rows, single_params_frame,
-)
 
 
 def _single_side_sql(side: str, te: str) -> str:
@@ -335,9 +340,6 @@ def q_te_multi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- T1 / T2 / T3 / V3 (exact split, k-fold) -----------------------------------------------
 
-from thermocal.operators.checks import split_summary  # noqa: E402
-from thermocal.operators.scaling import fit_scaler, inverse_log10, log10_target, standardize  # noqa: E402
-from thermocal.operators.split import kfold, train_test_split  # noqa: E402
 
 RANKED_CTE = ("ranked AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', sample_id, '42')), sample_id) AS rk, "
               "count(*) OVER () AS n_all FROM readings)")
@@ -442,10 +444,6 @@ def q_pow10_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- J1 / S3 / K4 / V2 ------------------------------------------------------------------------
 
-from thermocal.operators.blend import blend_tables  # noqa: E402
-from thermocal.operators.metrics import missing_actual_count  # noqa: E402
-from thermocal.session import scratch_path  # noqa: E402
-from thermocal.sources.params import read_params, save_params  # noqa: E402
 
 
 @query("blend_two_tables", with_views(
