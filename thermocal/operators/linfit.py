@@ -152,9 +152,12 @@ def fit_multi(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGHT
     require_columns(df, [temp_col, right_col, left_col, category_col], "multi fit")
     x = _num(temp_col)
     cat = F.col(f"`{category_col}`").cast("string")
+    # One row per category: cached so the category list and the lines come
+    # from a single scan of the readings.
     per_cat = (df.where(cat.isNotNull())
                .groupBy(cat.alias("category"))
-               .agg(*line_stats(_num(right_col), x, "r_"), *line_stats(_num(left_col), x, "l_")))
+               .agg(*line_stats(_num(right_col), x, "r_"), *line_stats(_num(left_col), x, "l_"))
+               .cache())
     per_side = F.array(*[
         F.struct(F.lit(side).alias("side"), F.col(f"{p}n").cast("bigint").alias("n"),
                  _slope(p).alias("k"),
