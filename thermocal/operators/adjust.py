@@ -100,42 +100,48 @@ def with_bracket(df: DataFrame, te_col: str, temp_col: str, lines: Sequence[tupl
     * neither (every line equals the reading) -> the first line's target value;
     * a missing reading or temperature -> NULL.
     """
-    te, temp = _c(te_col), _c(temp_col)
-    ok = present(te) & present(temp)
-    if rows is not None:
-        ok = ok & rows
-    if len(lines) > GENERATED_MAX_LINES:
-        return df.select("*", F.when(ok, _bracket_hof(te, temp, lines)).alias(out_col))
-    tag = out_col.strip("_")
-    vn = [f"__{tag}_v{j}" for j in range(len(lines))]
-    ss = [F.lit(s) for *_, s in lines]
-    # stage 1: each line's value at the row's temperature
-    d1 = df.select("*", *[(F.lit(k) * temp + F.lit(b)).alias(n) for n, (_, k, b, _) in zip(vn, lines)])
-    vs = [F.col(n) for n in vn]
-    # stage 2: nearest below / above, lowest / highest
-    d2 = d1.select(
-        "*",
-        _extreme(F.greatest, [F.when(v < te, v) for v in vs]).alias(f"__{tag}_lo"),
-        _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi"),
-        _extreme(F.least, vs).alias(f"__{tag}_min"),
-        _extreme(F.greatest, vs).alias(f"__{tag}_max"))
-    lo, hi, mn, mx = (F.col(f"__{tag}_{x}") for x in ("lo", "hi", "min", "max"))
-    # stage 3: the target value of the first line (category order) attaining each
-    d3 = d2.select(
-        "*",
-        _pick([(v == lo, s) for v, s in zip(vs, ss)]).alias(f"__{tag}_los"),
-        _pick([(v == hi, s) for v, s in zip(vs, ss)]).alias(f"__{tag}_his"),
-        _pick([(v == mn, s) for v, s in zip(vs, ss)]).alias(f"__{tag}_mins"),
-        _pick([(v == mx, s) for v, s in zip(vs, ss)]).alias(f"__{tag}_maxs"))
-    los, his, mins, maxs = (F.col(f"__{tag}_{x}") for x in ("los", "his", "mins", "maxs"))
-    interp = los + (te - lo) / (hi - lo) * (his - los)
-    result = (F.when(~ok, F.lit(None).cast("double"))
-              .when(lo.isNotNull() & hi.isNotNull(), interp)
-              .when(hi.isNotNull(), mins)
-              .when(lo.isNotNull(), maxs)
-              .otherwise(ss[0]))
-    temp_cols = vn + [f"__{tag}_{x}" for x in ("lo", "hi", "min", "max", "los", "his", "mins", "maxs")]
-    return d3.select("*", result.alias(out_col)).drop(*temp_cols)
+    return with_brackets(df, [(te_col, lines, out_col)], temp_col, rows)
+
+
+def with_brackets(df: DataFrame, jobs, temp_col: str, rows=None) -> DataFrame:
+    """Several bracket searches (one per TE side) computed together in three
+    projections: line values -> extremes -> picks and result."""
+    temp = _c(temp_col)
+    if any(len(lines) > GENERATED_MAX_LINES for _, lines, _ in jobs):
+        out = df
+        for te_col, lines, out_col in jobs:
+            ok = present(_c(te_col)) & present(temp)
+            ok = ok & rows if rows is not None else ok
+            out = out.select("*", F.when(ok, _bracket_hof(_c(te_col), temp, lines)).alias(out_col))
+        return out
+    stage1, stage2, stage3, temp_cols = [], [], [], []
+    for te_col, lines, out_col in jobs:
+        tag = out_col.strip("_")
+        te = _c(te_col)
+        vn = [f"__{tag}_v{j}" for j in range(len(lines))]
+        stage1 += [(F.lit(k) * temp + F.lit(b)).alias(n) for n, (_, k, b, _) in zip(vn, lines)]
+        vs = [F.col(n) for n in vn]
+        stage2 += [
+            _extreme(F.greatest, [F.when(v < te, v) for v in vs]).alias(f"__{tag}_lo"),
+            _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi"),
+            _extreme(F.least, vs).alias(f"__{tag}_min"),
+            _extreme(F.greatest, vs).alias(f"__{tag}_max")]
+        lo, hi, mn, mx = (F.col(f"__{tag}_{x}") for x in ("lo", "hi", "min", "max"))
+        ss = [F.lit(s) for *_, s in lines]
+        los = _pick([(v == lo, s) for v, s in zip(vs, ss)])
+        his = _pick([(v == hi, s) for v, s in zip(vs, ss)])
+        interp = los + (te - lo) / (hi - lo) * (his - los)
+        ok = present(te) & present(temp)
+        ok = ok & rows if rows is not None else ok
+        # the picks are used once each here, so this is the last stage
+        stage3.append(F.when(~ok, F.lit(None).cast("double"))
+                      .when(lo.isNotNull() & hi.isNotNull(), interp)
+                      .when(hi.isNotNull(), _pick([(v == mn, s) for v, s in zip(vs, ss)]))
+                      .when(lo.isNotNull(), _pick([(v == mx, s) for v, s in zip(vs, ss)]))
+                      .otherwise(ss[0]).alias(out_col))
+        temp_cols += vn + [f"__{tag}_{x}" for x in ("lo", "hi", "min", "max")]
+    staged = df.select("*", *stage1).select("*", *stage2)
+    return staged.select("*", *stage3).drop(*temp_cols)
 
 
 def _pick(conds_vals) -> Column:
@@ -187,9 +193,9 @@ def _bracket_hof(te, temp, lines):
 def with_multi_adjusted(df: DataFrame, lines: dict[str, list], temp_col: str = TEMPERATURE,
                        right_col: str = RIGHT, left_col: str = LEFT, rows=None,
                        out=("__adj_r", "__adj_l")) -> DataFrame:
-    """E5: both sides, each against its own lines."""
-    d = with_bracket(df, right_col, temp_col, lines["right"], out[0], rows)
-    return with_bracket(d, left_col, temp_col, lines["left"], out[1], rows)
+    """E5: both sides, each against its own lines, in the same three projections."""
+    return with_brackets(df, [(right_col, lines["right"], out[0]), (left_col, lines["left"], out[1])],
+                         temp_col, rows)
 
 
 # --- E6 / E7 ---------------------------------------------------------------------------
