@@ -76,3 +76,14 @@ def test_reference_poly_json(spark, sf_small, scratch):
     row = predict_polynomial(r, model).select(*FEATURES, "predicted").first()
     x = [row[f] for f in FEATURES]
     assert row["predicted"] == pytest.approx(SHIPPED_POLY[1][0] + sum(c * v for c, v in zip(SHIPPED_POLY[1][1], x)))
+
+
+def test_evaluate_from_csv(spark, sf_small, scratch):
+    from thermocal.sources.sinks import write_table
+    preds = fx.predictions(spark, sf_small).withColumn("label", F.lit("x"))
+    path = write_table(preds, f"{scratch}/preds_csv", "csv")
+    m = {r["Algorithm"]: r for r in evaluate(spark, path, "Actual", fmt="csv").collect()}
+    assert set(m) == {"a", "b", "c", "d"}  # the text column has no valid pair and is skipped
+    typed = {r["Algorithm"]: r for r in evaluate(spark, preds.drop("label"), "Actual").collect()}
+    assert m["a"]["Valid_Samples"] == typed["a"]["Valid_Samples"]
+    assert m["a"]["MSE"] == pytest.approx(typed["a"]["MSE"], rel=1e-9)

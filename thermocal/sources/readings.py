@@ -55,10 +55,9 @@ def read_table(spark: SparkSession, src, fmt: str | None = None,
     reader = spark.read.format(fmt)
     opts = dict(options or {})
     if fmt == "csv":
+        # Header only: schema inference would cost a second pass over the data;
+        # callers cast the columns they know (see read_readings) or pass a schema.
         opts.setdefault("header", "true")
-        if schema is None:
-            # Reading numbers as text would make every downstream cast silent.
-            opts.setdefault("inferSchema", "true")
     if fmt == "json":
         opts.setdefault("multiLine", "false")
     if schema is not None:
