@@ -95,3 +95,11 @@ def test_hot_duplicate_key_is_split_exactly(spark, readings, collect_max):
     pdf = pdf.sort_values(["h", "sample_id"])
     assert list(pdf["g"]) == sorted(pdf["g"])
     out.unpersist()
+
+
+def test_null_keys_get_a_group(spark, readings):
+    n = readings.count()
+    df = readings.withColumn("sample_id", F.when(F.col("category") == "3", F.lit(None)).otherwise(F.col("sample_id")))
+    out = kfold(df, 5, 42)
+    assert out.where("fold IS NULL").count() == 0
+    assert [r["count"] for r in out.groupBy("fold").count().orderBy("fold").collect()] == fold_sizes(n, 5)

@@ -98,7 +98,8 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
             state[r] = _locate(sub, off, r)
         hist, length = nxt, length + PREFIX_HEX
 
-    hc, kc = F.col("__h"), F.col(f"`{key_col}`").cast("string")
+    # A missing key compares as "" (all missing keys form one tie group).
+    hc, kc = F.col("__h"), F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit(""))
     cols = list(df.columns)
 
     def prefix_above(pref: str) -> Column:
