@@ -120,3 +120,12 @@ def test_blend_tables_matches_and_rejects_unmatched(spark):
     d = spark.createDataFrame([("k1", 11.0), ("k1", 1.0), ("k2", 2.0)], "sample_id string, MLP_Predicted double")
     with pytest.raises(InvalidInputError):
         blend_tables(a, d, check_unique=True)
+
+
+def test_rows_to_frame_ndarray(spark):
+    import numpy as np
+    two = rows_to_frame(spark, np.array([[0.1, 0.05, 0.05, 24.0], [0.2, 0.1, 0.1, 26.0]]))
+    assert two.count() == 2 and two.columns == ["Right_final", "Left_final", "Difference", "room_temperature"]
+    assert rows_to_frame(spark, np.array([0.1, 0.05, 0.05, 24.0])).count() == 1
+    with pytest.raises(InvalidInputError):
+        rows_to_frame(spark, np.zeros((2, 3)))

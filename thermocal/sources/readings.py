@@ -119,6 +119,8 @@ def rows_to_frame(spark: SparkSession, data, names: Sequence[str] = FEATURES) ->
             raise MissingColumnsError(missing, list(data), "sample")
         rows = [tuple(float(data[c]) for c in names)]
     else:
+        if hasattr(data, "ndim") and hasattr(data, "tolist"):  # NumPy array: 1-D is one row
+            data = data.reshape(1, -1).tolist() if data.ndim == 1 else data.tolist()
         seq = list(data)
         if seq and not isinstance(seq[0], (list, tuple)):
             seq = [seq]
