@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 ROW_WISE = ["read_project", "array_input", "poly_score_d1", "poly_score_d2", "poly_expand_d2", "poly_csv_view",
             "sigmoid_weight", "blend", "te_single_apply", "te_single_update", "te_multi_apply",
-            "te_multi_update", "standardize", "log10_target", "pow10_inverse"]
+            "te_multi_update", "te_bracket", "standardize", "log10_target", "pow10_inverse"]
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 
 

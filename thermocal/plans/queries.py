@@ -11,7 +11,7 @@ from thermocal.functions.expr import ensemble_predict, sigmoid_weight
 from thermocal.functions.poly import (
     poly_feature_names, poly_powers, poly_predict, poly_predict_sql, poly_terms,
 )
-from thermocal.operators.adjust import adjust_values, apply_adjuster
+from thermocal.operators.adjust import adjust_values, apply_adjuster, bracket_categories, multi_lines
 from thermocal.operators.blend import blend_tables
 from thermocal.operators.checks import row_counts, split_summary
 from thermocal.operators.linfit import categories, fit_multi, fit_single
@@ -474,3 +474,38 @@ def q_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_metrics_missing_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: missing actual values are counted (column c used as the actual)."""
     return missing_actual_count(fx.predictions(spark, sf_dir), "c")
+
+
+def _bracket_category_cte(side: str, te: str) -> str:
+    v = "(l.k * r.room_temperature + l.b)"
+    return f"""brc_{side} AS (
+  SELECT r.sample_id,
+    max({{'v': {v}, 'ni': -l.ord, 'c': l.category}}) FILTER (WHERE {v} < r.{te}) AS lo,
+    min({{'v': {v}, 'i': l.ord, 'c': l.category}}) FILTER (WHERE {v} > r.{te}) AS hi
+  FROM readings r JOIN shipped_cat_lines l ON l.side = '{side}'
+  GROUP BY r.sample_id)"""
+
+
+SHIPPED_CAT_LINES_CTE = ("shipped_cat_lines AS (SELECT * FROM (VALUES "
+                         + ", ".join(f"('{side}', '{cat}', {o}, {k!r}, {b!r})"
+                                     for side, cat, o, k, b in multi_params_rows())
+                         + ") AS t(side, category, ord, k, b))")
+
+
+@query("te_bracket", with_views(
+    "SELECT sample_id, brc_right.lo.c AS right_below, brc_right.hi.c AS right_above, "
+    "brc_left.lo.c AS left_below, brc_left.hi.c AS left_above "
+    "FROM readings JOIN brc_right USING (sample_id) JOIN brc_left USING (sample_id)",
+    extra=[SHIPPED_CAT_LINES_CTE, _bracket_category_cte("right", "Right_final"),
+           _bracket_category_cte("left", "Left_final")]))
+def q_te_bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category lines bracketing every reading (shipped lines, at its own temperature)."""
+    _tune(spark)
+    rows = multi_params_rows()
+    lines = multi_lines(rows, 23.0)
+    names = {side: {o: c for s_, c, o, _, _ in rows if s_ == side} for side in ("right", "left")}
+    d = bracket_categories(fx.readings(spark, sf_dir), "Right_final", "room_temperature", lines["right"],
+                           names["right"], "right_below", "right_above")
+    d = bracket_categories(d, "Left_final", "room_temperature", lines["left"], names["left"],
+                           "left_below", "left_above")
+    return d.select("sample_id", "right_below", "right_above", "left_below", "left_above")
