@@ -144,24 +144,29 @@ def with_brackets(df: DataFrame, jobs, temp_col: str, rows=None) -> DataFrame:
     return staged.select("*", *stage3).drop(*temp_cols)
 
 
-def bracket_categories(df: DataFrame, te_col: str, temp_col: str, lines: Sequence[tuple[int, float, float, float]],
-                       names: dict[int, str], below_col: str, above_col: str) -> DataFrame:
-    """J2 alone: the category of the nearest line strictly below and strictly above
-    the reading at the row's temperature (first in category order on ties; NULL
-    when there is none or the reading is missing)."""
-    te, temp = _c(te_col), _c(temp_col)
-    tag = f"{below_col}_{above_col}".strip("_")
-    vn = [f"__{tag}_v{j}" for j in range(len(lines))]
-    d1 = df.select("*", *[(F.lit(k) * temp + F.lit(b)).alias(n) for n, (_, k, b, _) in zip(vn, lines)])
-    vs = [F.col(n) for n in vn]
-    d2 = d1.select("*", _extreme(F.greatest, [F.when(v < te, v) for v in vs]).alias(f"__{tag}_lo"),
-                   _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi"))
-    lo, hi = F.col(f"__{tag}_lo"), F.col(f"__{tag}_hi")
-    cats = [F.lit(names[i]) for i, *_ in lines]
-    ok = present(te) & present(temp)
-    return d2.select("*", F.when(ok, _pick([(v == lo, c) for v, c in zip(vs, cats)])).alias(below_col),
-                     F.when(ok, _pick([(v == hi, c) for v, c in zip(vs, cats)])).alias(above_col)
-                     ).drop(*vn, f"__{tag}_lo", f"__{tag}_hi")
+def bracket_categories(df: DataFrame, jobs, temp_col: str) -> DataFrame:
+    """J2 alone: for each (te column, lines, category names, below column, above
+    column) job, the category of the nearest line strictly below and strictly
+    above the reading at the row's temperature (first in category order on
+    ties; NULL when there is none or the reading is missing). All jobs share
+    three projections."""
+    temp = _c(temp_col)
+    stage1, stage2, stage3, temp_cols = [], [], [], []
+    for te_col, lines, names, below_col, above_col in jobs:
+        te = _c(te_col)
+        tag = f"{below_col}_{above_col}".strip("_")
+        vn = [f"__{tag}_v{j}" for j in range(len(lines))]
+        stage1 += [(F.lit(k) * temp + F.lit(b)).alias(n) for n, (_, k, b, _) in zip(vn, lines)]
+        vs = [F.col(n) for n in vn]
+        stage2 += [_extreme(F.greatest, [F.when(v < te, v) for v in vs]).alias(f"__{tag}_lo"),
+                   _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi")]
+        lo, hi = F.col(f"__{tag}_lo"), F.col(f"__{tag}_hi")
+        cats = [F.lit(names[i]) for i, *_ in lines]
+        ok = present(te) & present(temp)
+        stage3 += [F.when(ok, _pick([(v == lo, c) for v, c in zip(vs, cats)])).alias(below_col),
+                   F.when(ok, _pick([(v == hi, c) for v, c in zip(vs, cats)])).alias(above_col)]
+        temp_cols += vn + [f"__{tag}_lo", f"__{tag}_hi"]
+    return df.select("*", *stage1).select("*", *stage2).select("*", *stage3).drop(*temp_cols)
 
 
 def _pick(conds_vals) -> Column:

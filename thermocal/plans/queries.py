@@ -504,8 +504,7 @@ def q_te_bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = multi_params_rows()
     lines = multi_lines(rows, 23.0)
     names = {side: {o: c for s_, c, o, _, _ in rows if s_ == side} for side in ("right", "left")}
-    d = bracket_categories(fx.readings(spark, sf_dir), "Right_final", "room_temperature", lines["right"],
-                           names["right"], "right_below", "right_above")
-    d = bracket_categories(d, "Left_final", "room_temperature", lines["left"], names["left"],
-                           "left_below", "left_above")
+    d = bracket_categories(fx.readings(spark, sf_dir), [
+        ("Right_final", lines["right"], names["right"], "right_below", "right_above"),
+        ("Left_final", lines["left"], names["left"], "left_below", "left_above")], "room_temperature")
     return d.select("sample_id", "right_below", "right_above", "left_below", "left_above")
