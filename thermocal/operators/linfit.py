@@ -18,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 
 from thermocal.functions.expr import present
 from thermocal.schema import CATEGORY, LEFT, RIGHT, TEMPERATURE
+from thermocal.session import ship_package
 from thermocal.sources.readings import require_columns
 
 SIDES = (("right", RIGHT), ("left", LEFT))
@@ -130,6 +131,7 @@ def fit_single(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGH
         F.sqrt(F.try_divide((F.lit(1.0) - r * r) * F.col("syy"),
                             F.col("sxx") * (F.col("n") - F.lit(2)))).alias("std_err"))
     if with_p:
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", _p_value(F.col("r_value"), F.col("n").cast("double")))
         out = out.select("side", "n", "slope", "intercept", "r_value", "p_value", "std_err")
     return out

@@ -62,3 +62,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``thermocal`` importable in the Python workers of every executor.
+
+    Operators that run Python in tasks (``mapInPandas``, ``pandas_udf``) call
+    this before their first job: a zip of the package is added once per
+    application with ``SparkContext.addPyFile`` — the same mechanism as
+    ``spark-submit --py-files``; Spark copies it to every executor and puts it
+    on the workers' path. The zip is built on the driver and only read there.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = os.path.join(tempfile.mkdtemp(prefix="thermocal-pyfiles-"), "thermocal.zip")
+    with open(target, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
