@@ -129,3 +129,13 @@ def test_rows_to_frame_ndarray(spark):
     assert rows_to_frame(spark, np.array([0.1, 0.05, 0.05, 24.0])).count() == 1
     with pytest.raises(InvalidInputError):
         rows_to_frame(spark, np.zeros((2, 3)))
+
+
+def test_sources_reject_missing_and_unknown(spark, scratch):
+    from thermocal.sources.readings import read_table
+    with pytest.raises(Exception):
+        read_table(spark, f"{scratch}/missing.parquet")
+    with pytest.raises(InvalidInputError):
+        read_table(spark, f"{scratch}/book.xlsx")
+    with pytest.raises(TypeError):
+        read_table(spark, 42)
