@@ -28,7 +28,7 @@ def test_make_adjuster_sources(spark, sf_small, scratch):
     a = sorted(tuple(x) for x in fitted.drop("n").collect())
     b = sorted(tuple(x) for x in loaded.collect())
     assert a == b
-    doc = f"{scratch}/parm.json"
+    doc = f"{scratch}/single_params.json"
     with open(doc, "w") as f:
         json.dump({"right_slope": 30.0, "right_intercept": 1.0, "left_slope": 40.0, "left_intercept": 2.0}, f,
                   indent=4)
