@@ -133,9 +133,18 @@ def test_fit_edges(spark):
     assert fit[("right", "9")]["k"] == pytest.approx(0.03)
     assert fit[("right", "9")]["b"] == pytest.approx(0.1 - 0.6)
     assert [r["category"] for r in categories(df).orderBy("ord").collect()] == ["7", "8", "9"]
-    # apply skips the NULL lines
-    out = apply_adjuster(df.withColumn("room_temperature", F.lit(30.0)), fit_multi(df), mode="multi")
+    # apply skips the NULL lines, and says so
+    import logging
+    records = []
+    handler = logging.Handler()
+    handler.emit = records.append
+    logging.getLogger("thermocal").addHandler(handler)
+    try:
+        out = apply_adjuster(df.withColumn("room_temperature", F.lit(30.0)), fit_multi(df), mode="multi")
+    finally:
+        logging.getLogger("thermocal").removeHandler(handler)
     assert out.count() == 5
+    assert any("skipping 4 category line" in r.getMessage() for r in records)
 
 
 def test_single_fit_matches_formulas(spark):

@@ -9,6 +9,7 @@ functions, so there is no join, no shuffle and no Python on the row path.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,11 +70,17 @@ def multi_lines(params, target: float) -> dict[str, list[tuple[int, float, float
     else:
         rows = [(r[0], r[2], r[3], r[4]) for r in params]
     out: dict[str, list] = {"right": [], "left": []}
+    skipped = []
     for side, ordv, k, b in rows:
         if k is None or b is None:
+            skipped.append((side, ordv))
             continue
         # Constant folding: each line's value at the target temperature.
         out.setdefault(side, []).append((int(ordv), float(k), float(b), float(k) * float(target) + float(b)))
+    if skipped:
+        logging.getLogger("thermocal").warning(
+            "skipping %d category line(s) without a fit (fewer than two distinct temperatures): %s",
+            len(skipped), sorted(skipped))
     for side in ("right", "left"):
         if not out.get(side):
             raise InvalidInputError(f"multi parameters have no usable line for side '{side}'")
