@@ -56,3 +56,11 @@ def test_stream_scoring_equals_batch(spark, sf_small, scratch):
     got = spark.read.parquet(f"{scratch}/out2")
     want = scorer(spark.read.parquet(src))
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_fixed6_text(spark):
+    from thermocal.sources.sinks import fixed6
+    vals = [1.5, -0.0, float("nan"), None, float("inf"), float("-inf"), -2.25e-7, 123456789.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(fixed6(F.col("x"))).collect()]
+    assert got == ["1.500000", "0.000000", None, None, "inf", "-inf", "0.000000", "123456789.500000"]
