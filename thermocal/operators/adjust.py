@@ -130,23 +130,25 @@ def with_brackets(df: DataFrame, jobs, temp_col: str, rows=None) -> DataFrame:
         vs = [F.col(n) for n in vn]
         stage2 += [
             _extreme(F.greatest, [F.when(v < te, v) for v in vs]).alias(f"__{tag}_lo"),
-            _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi"),
-            _extreme(F.least, vs).alias(f"__{tag}_min"),
-            _extreme(F.greatest, vs).alias(f"__{tag}_max")]
-        lo, hi, mn, mx = (F.col(f"__{tag}_{x}") for x in ("lo", "hi", "min", "max"))
+            _extreme(F.least, [F.when(v > te, v) for v in vs]).alias(f"__{tag}_hi")]
+        lo, hi = F.col(f"__{tag}_lo"), F.col(f"__{tag}_hi")
         ss = [F.lit(s) for *_, s in lines]
         los = _pick([(v == lo, s) for v, s in zip(vs, ss)])
         his = _pick([(v == hi, s) for v, s in zip(vs, ss)])
+        # A line equal to the reading is the lowest line when nothing is below and
+        # the highest when nothing is above (and the first line when all are equal);
+        # otherwise the lowest is the nearest above and the highest the nearest below.
+        eqs = _pick([(v == te, s) for v, s in zip(vs, ss)])
         interp = los + (te - lo) / (hi - lo) * (his - los)
         ok = present(te) & present(temp)
         ok = ok & rows if rows is not None else ok
         # the picks are used once each here, so this is the last stage
         stage3.append(F.when(~ok, F.lit(None).cast("double"))
                       .when(lo.isNotNull() & hi.isNotNull(), interp)
-                      .when(hi.isNotNull(), _pick([(v == mn, s) for v, s in zip(vs, ss)]))
-                      .when(lo.isNotNull(), _pick([(v == mx, s) for v, s in zip(vs, ss)]))
-                      .otherwise(ss[0]).alias(out_col))
-        temp_cols += vn + [f"__{tag}_{x}" for x in ("lo", "hi", "min", "max")]
+                      .when(eqs.isNotNull(), eqs)
+                      .when(hi.isNotNull(), his)
+                      .otherwise(los).alias(out_col))
+        temp_cols += vn + [f"__{tag}_lo", f"__{tag}_hi"]
     staged = df.select("*", *stage1).select("*", *stage2)
     return staged.select("*", *stage3).drop(*temp_cols)
 
