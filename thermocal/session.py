@@ -71,7 +71,8 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``thermocal`` importable in the Python workers of every executor.
 
     Operators that run Python in tasks (``mapInPandas``, ``pandas_udf``) call
-    this before their first job: a zip of the package is added once per
+    this before they wrap their first Python function (PySpark records the
+    shipped files when a function is wrapped, not when it runs): a zip of the package is added once per
     application with ``SparkContext.addPyFile`` — the same mechanism as
     ``spark-submit --py-files``; Spark copies it to every executor and puts it
     on the workers' path. The zip is built on the driver and only read there.
