@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
-from . import histogram_sort, language_id, mixing, token_files, toxicity
+from . import histogram_sort, language_id, mixing, ngram_join, token_files, toxicity, vector_join
 from .common import read, scratch
 from .oracles import ORACLE
 
@@ -77,3 +77,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = toxicity.score(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"),
                                              F.col("toxicity").alias("score"))
     return got.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = ngram_join.ngram_classes(read(spark, sf_dir, "documents"), size=3, threshold=0.9)
+    return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op2_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vector_join.vector_links(read(spark, sf_dir, "embeddings"))
+    return got.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
