@@ -160,7 +160,7 @@ def _merged(a: str, b: str, text_col: str):
                        spans, F.col(f"`{text_col}`"))
 
 
-def _merge(it: Iterator[tuple]) -> Iterator[pa.Array]:
+def _merge(it: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for words, items, spans, texts in it:
         out = []
         for w, i, p, t in zip(words.to_pylist(), items.to_pylist(), spans.to_pylist(), texts.to_pylist()):

@@ -99,8 +99,9 @@ def find_splitters(narrow: DataFrame, wanted: list[float], tolerance: float, pro
             if bucket is not None:
                 lo, hi = tuple(bucket["first"]), tuple(bucket["last"])
                 s["lo"], s["hi"] = lo, hi
-                if lo[0] == hi[0]:  # one text spans the boundary: its two ends are candidates
-                    ends = [(lo[0], _LOW, _LOW), (lo[0] + 1, _LOW, _LOW)]
+                ends = [(lo[0], _LOW, _LOW), (lo[0] + 1, _LOW, _LOW)]
+                if lo[0] == hi[0] and probes[j] <= ends[0] and (j + 1 == len(probes) or probes[j + 1] >= ends[1]):
+                    # one whole text spans the boundary: its two ends are candidates
                     for e, at in zip(ends, (below[j], below[j] + bucket["bytes"])):
                         off = abs(at - want)
                         s["best"] = min(s["best"], (off if off <= tolerance else off + 2 * tolerance, e))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
-from . import histogram_sort, language_id, mixing, ngram_join, token_files, toxicity, vector_join
+from . import (histogram_sort, language_id, line_templates, mixing, ngram_join, secret_scan, token_files, toxicity,
+               vector_join)
 from .common import read, scratch
 from .oracles import ORACLE
 
@@ -89,3 +90,22 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = vector_join.vector_links(read(spark, sf_dir, "embeddings"))
     return got.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secret_scan.scan(read(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    owned = F.filter("spans", lambda s: s["kind"] == 3)
+    return got.select(F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                      F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                      secret_scan.listed(F.col("spans")).alias("spans"), F.size(owned).cast("long").alias("n_owned"),
+                      F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
+
+
+@query
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = line_templates.drop_recurring(read(spark, sf_dir, "documents"))
+    d = F.col("lines")
+    return got.select("doc_id", d["n_lines"].alias("n_lines"), d["n_dropped"].alias("n_dropped"),
+                      F.sha2(d["text"], 256).alias("kept_sha256"))

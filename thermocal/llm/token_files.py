@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from . import elias_fano
 from .common import ship_package
 
-_SPLIT = re.compile(r"[\x20\x09-\x0D]+")
+#: Encoders of this worker process: what they remember outlives a task.
+_ENCODERS: dict[tuple, Encoder] = {}
 _NO_ID = -(1 << 63)
 
 
@@ -48,34 +49,44 @@ def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """Text -> ids, remembering the ids of up to ``memory`` pieces."""
+    """UTF-8 text -> ids, remembering the ids of up to ``memory`` pieces, and of as many words in them."""
 
     def __init__(self, path: str, pieces: bool = True, memory: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.pieces, self.memory, self.known = Tokenizer.from_file(path), pieces, memory, {}
+        self.tokenizer, self.pieces, self.memory = Tokenizer.from_file(path), pieces, memory
+        self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str, dtype) -> np.ndarray:
+    def encode(self, text: bytes, dtype) -> bytes:
         if not self.pieces:
-            return np.array(self._ids([text])[0], dtype)
-        known, words = self.known, []
-        for w in _SPLIT.split(text):
-            # "word." and "word," are a run of letters and a run of others to the tokenizer
-            if w[-1:] in (".", ",") and w[:-1].isalpha():
-                words += (w[:-1], w[-1])
-            elif w:
-                words.append(w)
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > self.memory:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, ids in zip(new, self._ids(new)):
-                known[w] = np.array(ids, dtype).tobytes()
-        return np.frombuffer(b"".join([known[w] for w in words]), dtype)
+            return np.array(self._ids([text.decode()])[0], dtype).tobytes()
+        pieces = text.split()  # of bytes: at ASCII white space alone
+        ids = [*map(self.known.get, pieces)]
+        if None in ids:
+            if len(self.known) > self.memory:
+                self.known.clear()
+                ids = [None] * len(pieces)
+            self._learn([p for p, i in zip(pieces, ids) if i is None], dtype)
+            ids = map(self.known.__getitem__, pieces)
+        return b"".join(ids)
+
+    def _learn(self, pieces: list[bytes], dtype) -> None:
+        # "word." and "word," are a run of letters and a run of others to the tokenizer
+        parts = {}
+        for p in dict.fromkeys(pieces):
+            s = p.decode()
+            parts[p] = (s[:-1], s[-1]) if s[-1] in ".," and s[:-1].isalpha() else (s,)
+        if len(self.words) > self.memory:
+            self.words.clear()
+        new = [w for w in dict.fromkeys(w for ws in parts.values() for w in ws) if w not in self.words]
+        for w, ids in zip(new, self._ids(new)):
+            self.words[w] = np.array(ids, dtype).tobytes()
+        for p, ws in parts.items():
+            self.known[p] = b"".join([self.words[w] for w in ws])
 
 
 def vocabulary_size(tokenizer_path: str) -> int:
@@ -84,11 +95,13 @@ def vocabulary_size(tokenizer_path: str) -> int:
 
 
 def _writer(folder: str, tokenizer_path: str, end_id: int, width: int, pieces: bool):
-    dtype, cache = np.dtype(f"<u{width}"), {}
+    dtype = np.dtype(f"<u{width}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "e" not in cache:
-            cache["e"] = Encoder(tokenizer_path, pieces)
+        encoder = _ENCODERS.get((tokenizer_path, pieces, width))
+        if encoder is None:
+            encoder = _ENCODERS[tokenizer_path, pieces, width] = Encoder(tokenizer_path, pieces)
+        end = np.array([end_id], dtype).tobytes()
         store, base = filesystem(folder)
         store.create_dir(base, recursive=True)
         n, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
@@ -98,9 +111,10 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, width: int, pieces: b
             for doc, text in zip(b.column("i"), b.column("t")):
                 if out is None:
                     out = store.open_output_stream(f"{base}/{name}.ids.{attempt}")
-                got = cache["e"].encode(text.as_py() or "", dtype)
-                out.write(got.tobytes() + np.array([end_id], dtype).tobytes())
-                total += len(got) + 1
+                got = encoder.encode(text.as_py() or b"", dtype)
+                out.write(got)
+                out.write(end)
+                total += len(got) // width + 1
                 ends.append(total)
                 ids.append(doc.as_py())
         if out is None:
@@ -126,7 +140,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, *, id_c
     # the text's hash spreads rows that share an id, in ties and between shards
     rows = (docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").alias("t"))
             .withColumn("h", F.xxhash64("t")))
-    rows = rows.repartitionByRange("i", "h").sortWithinPartitions(F.col("i").asc_nulls_first(), "h", "t").select("i", "t")
+    rows = rows.repartitionByRange("i", "h").sortWithinPartitions(F.col("i").asc_nulls_first(), "h", "t")
+    rows = rows.select("i", F.col("t").cast("binary").alias("t"))
     done = rows.mapInArrow(_writer(folder, tokenizer_path, end_id, width, pieces), "shard int, docs bigint, tokens bigint")
     manifest, start = [], 0
     for r in sorted(done.collect()):  # one row a shard

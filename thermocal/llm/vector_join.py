@@ -8,9 +8,9 @@ per block, each under ``(2 - 2 t) * block_dims / dims``.
 
 A block's range join uses a k-d tree over its dimensions, cut at the medians of a bounded
 sample: a vector is *home* in one leaf and a *probe* in each later leaf that its budget ball
-touches. The vectors of a leaf meet in tiles of at most ``TILE`` by ``TILE`` vectors (leaves
+touches. The vectors of a leaf meet in tiles of about ``tile`` by ``tile`` vectors (leaves
 are counted first, so a leaf that holds a large group of copies is dealt to many tiles).
-In a tile, block distances are one matrix product; a pair is verified by the exact cosine of
+In a tile, block distances are matrix products; a pair is verified by the exact cosine of
 the original vectors in double precision, in the block in which it uses the least part of
 its budget, so it is counted once. A tile returns link counts and a spanning forest
 of its links, never the pairs.
@@ -43,10 +43,7 @@ from .common import ship_package, stored
 from .components import components
 
 SAMPLE = 20_000   #: vectors that place the trees' cuts
-LEAF = 4_096      #: wanted vectors a leaf
 MOST_LEAVES = 4_096
-TILE = 4_096
-STEP = 1_024      #: rows of a matrix product inside a tile
 SLACK = 1e-5      #: above the rounding of single-precision block distances
 SEED = 20
 
@@ -120,11 +117,13 @@ class Tree:
 class Plan:
     """What every task knows: rotation, blocks, trees, budgets, and tiles a leaf."""
 
-    def __init__(self, sample: np.ndarray, dims: int, n: int, threshold: float, block_dims: int, dtype: str):
+    def __init__(self, sample: np.ndarray, dims: int, n: int, threshold: float, block_dims: int, dtype: str,
+                 leaf: int, tile: int, step: int):
+        self.tile, self.step = tile, step
         self.turn, self.threshold, self.dtype, self.dims = rotation(dims), threshold, np.dtype(dtype), dims
         self.blocks = [range(k, min(k + block_dims, dims)) for k in range(0, dims, block_dims)]
         self.budgets = np.array([(2 - 2 * threshold) * len(b) / dims for b in self.blocks])
-        depth = max(0, min(MOST_LEAVES, max(1, n // LEAF)).bit_length() - 1)
+        depth = max(0, min(MOST_LEAVES, max(1, n // leaf)).bit_length() - 1)
         z = rotated(sample, self.turn) if len(sample) else np.zeros((0, dims))
         self.trees = [Tree(z, b, depth) for b in self.blocks]
         self.homes: dict[tuple[int, int], int] = {}
@@ -190,7 +189,7 @@ def _deal(plan):
                 out.append({"tile": tile, "block": block, "side": side, "ids": ids[rows].tobytes(),
                             "copies": copies[rows].tobytes(), "vecs": raw[rows].tobytes()})
             for k, leaf, rows, home in p.places(rotated(raw.astype(np.float64), p.turn)):
-                nh, np_ = -(-p.homes.get((k, leaf), 0) // TILE), -(-p.probes.get((k, leaf), 0) // TILE)
+                nh, np_ = -(-p.homes.get((k, leaf), 0) // p.tile), -(-p.probes.get((k, leaf), 0) // p.tile)
                 if nh == 0:
                     continue
                 chunk = (spread[rows] % np.uint64(nh if home else np_)).astype(np.int64)
@@ -229,10 +228,10 @@ def _links_in(p: Plan, block: int, a: _Side, b: _Side, same: bool) -> Iterator[t
     """Verified pairs (rows of a, rows of b) that this block owns, a piece at a time."""
     starts = np.array([r.start for r in p.blocks])
     limit = np.float32(p.budgets[block] + SLACK)
-    for i0 in range(0, len(a.ids), STEP):
-        ra = slice(i0, i0 + STEP)
-        for j0 in range(i0 if same else 0, len(b.ids), STEP):
-            rb = slice(j0, j0 + STEP)
+    for i0 in range(0, len(a.ids), p.step):
+        ra = slice(i0, i0 + p.step)
+        for j0 in range(i0 if same else 0, len(b.ids), p.step):
+            rb = slice(j0, j0 + p.step)
             d = a.part[ra] @ b.part[rb].T
             d *= -2
             d += a.sq[ra][:, None]
@@ -286,8 +285,11 @@ def _join(plan):
 
 
 def vector_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",
-                 threshold: float = 0.95, block_dims: int = 8) -> DataFrame:
-    """One row per vector: id, n_links, component_id (least id reachable by links)."""
+                 threshold: float = 0.95, block_dims: int = 8, leaf: int = 4_096, tile: int = 4_096, step: int = 1_024) -> DataFrame:
+    """One row per vector: id, n_links, component_id (least id reachable by links).
+
+    ``leaf``: wanted vectors a leaf; ``tile``: a tile's side; ``step``: rows of a matrix product in it.
+    """
     spark = vectors.sparkSession
     ship_package(spark)
     element = vectors.schema[vector_col].dataType.elementType
@@ -302,7 +304,7 @@ def vector_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     found = None
     for d in classes.groupBy("dims").count().collect():  # as many rows as there are vector lengths
         part = classes.filter(F.col("dims") == d["dims"])
-        one = _links_of(part, d["dims"], d["count"], threshold, block_dims, dtype)
+        one = _links_of(part, d["dims"], d["count"], dtype, threshold=threshold, block_dims=block_dims, leaf=leaf, tile=tile, step=step)
         found = one if found is None else found.union(one)
     if found is None:
         return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
@@ -318,11 +320,11 @@ def vector_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
                     F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")))
 
 
-def _links_of(classes: DataFrame, dims: int, n: int, threshold: float, block_dims: int, dtype: str) -> DataFrame:
+def _links_of(classes: DataFrame, dims: int, n: int, dtype: str, **how) -> DataFrame:
     sc = classes.sparkSession.sparkContext
     sample = classes.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("vec").toArrow()["vec"].to_pylist()
     x = np.frombuffer(b"".join(sample), dtype).reshape(-1, dims).astype(np.float64)
-    plan = Plan(x, dims, n, threshold, block_dims, dtype)
+    plan = Plan(x, dims, n, dtype=dtype, **how)
     places = (classes.select("vec").mapInArrow(_count_places(sc.broadcast(plan)), "block int, leaf int, home bigint, probe bigint")
               .groupBy("block", "leaf").agg(F.sum("home").alias("home"), F.sum("probe").alias("probe")).collect())
     for r in places:  # blocks times MOST_LEAVES rows at most
