@@ -59,8 +59,13 @@ def test_stream_scoring_equals_batch(spark, sf_small, scratch):
 
 
 def test_fixed6_text(spark):
+    import random
     from thermocal.sources.sinks import fixed6
-    vals = [1.5, -0.0, float("nan"), None, float("inf"), float("-inf"), -2.25e-7, 123456789.5]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = [r[0] for r in df.select(fixed6(F.col("x"))).collect()]
-    assert got == ["1.500000", "0.000000", None, None, "inf", "-inf", "0.000000", "123456789.500000"]
+    rng = random.Random(1)
+    vals = [1.5, -0.0, None, -2.25e-7, 123456789.5, 1.1234565, 0.0078125, 0.0234375, 5e-7, 1.5e-6, 0.9999995, 9e15, 1e15 + 0.5, -1e-9]
+    vals += [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 14) for _ in range(300)] + [rng.randint(-10**9, 10**9) / 128 for _ in range(100)]
+    rows = list(enumerate([*vals, float("nan"), float("inf"), float("-inf"), 1e33]))
+    df = spark.createDataFrame(rows, "i int, x double").coalesce(1)
+    got = [r[0] for r in fixed6(df, ["x"]).collect()]
+    assert got[:len(vals)] == [None if v is None else "%.6f" % v for v in vals]
+    assert got[len(vals):-1] == [None, "inf", "-inf"] and float(got[-1]) == 1e33

@@ -305,7 +305,7 @@ def make_adjuster(spark, mode: str = "multi", fit_data=None, params=None, save_t
     """Parameters from exactly one source — readings to fit on, or a
     parameter table / file (parquet, our JSON, or the reference's JSON documents).
     Optionally saves fitted parameters (K4). Returns the parameter DataFrame."""
-    from thermocal.sources.params import read_multi_params_json, read_params, read_single_params_json, save_params
+    from thermocal.sources.params import document_kind, read_multi_params_json, read_params, read_single_params_json, save_params
     from thermocal.sources.readings import read_readings
     if (fit_data is None) == (params is None):
         raise InvalidInputError("give exactly one of fit_data (to fit) or params (to load)")
@@ -317,10 +317,7 @@ def make_adjuster(spark, mode: str = "multi", fit_data=None, params=None, save_t
     if isinstance(params, DataFrame):
         return params
     if params.rstrip("/").endswith(".json"):
-        head = spark.read.text(params).limit(50).collect()
-        text = "".join(r[0] for r in head)
-        if "line_parm_right" in text:
-            return read_multi_params_json(spark, params)
-        if "right_slope" in text:
-            return read_single_params_json(spark, params)
+        reader = {"multi": read_multi_params_json, "single": read_single_params_json}.get(document_kind(spark, params))
+        if reader is not None:
+            return reader(spark, params)
     return read_params(spark, params, mode)

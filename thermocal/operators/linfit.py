@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from thermocal.functions.expr import present
+from thermocal.operators.student_t import two_sided_p
 from thermocal.schema import CATEGORY, LEFT, RIGHT, TEMPERATURE
 from thermocal.session import ship_package
 from thermocal.sources.readings import require_columns
@@ -46,56 +47,14 @@ def _slope(p: str) -> Column:
     return F.try_divide(F.col(f"{p}sxy"), F.col(f"{p}sxx"))
 
 
-# --- two-sided Student-t tail for the slope p-value ---------------------------------
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the regularized incomplete beta (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
-
-
 def t_two_sided_p(r: float, n: float) -> float:
     """p-value of H0: slope = 0, from the correlation r and n pairs."""
     if r is None or n is None or n < 3 or math.isnan(r):
         return float("nan")
-    df = n - 2.0
     one_minus = (1.0 - r) * (1.0 + r)
     if one_minus <= 0.0:
         return 0.0
-    t2 = r * r * df / one_minus
-    return _betainc(df / 2.0, 0.5, df / (df + t2))
+    return two_sided_p(r * math.sqrt((n - 2.0) / one_minus), n - 2.0)
 
 
 @pandas_udf(T.DoubleType())
@@ -154,40 +113,26 @@ def fit_multi(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGHT
     require_columns(df, [temp_col, right_col, left_col, category_col], "multi fit")
     x = _num(temp_col)
     cat = F.col(f"`{category_col}`").cast("string")
-    # One row per category: cached so the category list and the lines come
-    # from a single scan of the readings.
     per_cat = (df.where(cat.isNotNull())
                .groupBy(cat.alias("category"))
-               .agg(*line_stats(_num(right_col), x, "r_"), *line_stats(_num(left_col), x, "l_"))
-               .cache())
+               .agg(*line_stats(_num(right_col), x, "r_"), *line_stats(_num(left_col), x, "l_")))
     per_side = F.array(*[
         F.struct(F.lit(side).alias("side"), F.col(f"{p}n").cast("bigint").alias("n"),
                  _slope(p).alias("k"),
                  (F.col(f"{p}my") - _slope(p) * F.col(f"{p}mx")).alias("b"))
         for side, p in (("right", "r_"), ("left", "l_"))])
-    ranked = per_cat.withColumn("ord", _ordinal(per_cat.select("category")))
+    ranked = per_cat.withColumn("ord", _ordinal())
     return ranked.select("category", "ord", F.inline(per_side)).select(
         "side", "category", "ord", "n", "k", "b")
 
 
-# Upper bound on the number of categories (the multi adjuster inlines one line per category).
-MAX_CATEGORIES = 100_000
-
-
-def _ordinal(cats: DataFrame) -> Column:
-    """Position of each category in string order, as a literal map built from the
-    distinct categories (collected after a size check; no global window)."""
-    names = sorted(r[0] for r in cats.distinct().limit(MAX_CATEGORIES + 1).collect())
-    if len(names) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories")
-    if not names:
-        return F.lit(None).cast("int")
-    m = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.lit(i))])
-    return m[F.col("category")].cast("int")
+def _ordinal() -> Column:
+    """Position of each category in string order. The window runs over grouped rows, one per category."""
+    return (F.row_number().over(Window.orderBy("category")) - 1).cast("int")
 
 
 def categories(df: DataFrame, category_col: str = CATEGORY) -> DataFrame:
     """Distinct categories as strings, in string order, with their position."""
     c = F.col(f"`{category_col}`").cast("string")
     d = df.select(c.alias("category")).where(F.col("category").isNotNull()).distinct()
-    return d.withColumn("ord", _ordinal(d))
+    return d.withColumn("ord", _ordinal())

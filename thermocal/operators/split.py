@@ -14,8 +14,8 @@ table and without a single-partition window:
    cut to one key; every row is then assigned in a single projection by
    comparing its (hash, key) with the cut keys.
 
-Only a cut inside a large group of identical keys takes another route: that
-group is ranked by position, partition by partition (``_window_fallback``).
+A cut inside a group of identical keys is refined by a hash of the whole row; only
+rows equal in every column are ranked by position (``_window_fallback``).
 No row is dropped or duplicated.
 """
 
@@ -59,7 +59,7 @@ def _locate(hist: dict[str, int], base: int, rank: int) -> tuple[str, int, bool]
 
 
 def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
-                out_col: str = "group", collect_max: int = COLLECT_MAX) -> DataFrame:
+                out_col: str = "group", collect_max: int = COLLECT_MAX, by_content: bool = False) -> DataFrame:
     """Group index = number of cut ranks a row's rank exceeds (rank 1 = smallest (hash, key)).
 
     ``cut_ranks`` are cumulative sizes, e.g. [n_test] for a split or the fold
@@ -71,12 +71,22 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
     (at most ``collect_max`` short strings, checked from the histogram before
     fetching). The cut keys found that way make the assignment a single
     projection: ``(hash, key) > cut key``. When a cut falls inside a group of
-    rows sharing one key that is too large to fetch (a duplicated key holding a
-    large share of the table), the group is ranked by position, partition by
-    partition (see ``_window_fallback``); sizes stay exact.
+    rows sharing one key, the order is refined by a hash of the whole row
+    (``by_content``), so which row goes where does not depend on files or
+    partitions. Only rows equal in every column are then left to be ranked by
+    position (see ``_window_fallback``); sizes stay exact.
     """
     require_columns(df, [key_col], "split")
-    h = df.withColumn("__h", order_hash(key_col, seed))
+    order = order_hash(key_col, seed)
+    if by_content:
+        order = F.concat(order, F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})))
+    digits = 64 if by_content else 32
+    h = df.withColumn("__h", order)
+
+    def tied():
+        if by_content:
+            return _window_fallback(h, list(df.columns), inner, {**state, **full}, always, key_col, out_col)
+        return rank_groups(df, cuts, key_col, seed, out_col, collect_max, by_content=True)
     hist = _histogram(h, PREFIX_HEX, None, 0)
     n = sum(hist.values())
     cuts = sorted(set(int(r) for r in (cut_ranks(n) if callable(cut_ranks) else cut_ranks)))
@@ -89,7 +99,7 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
         open_cuts = [r for r in inner if not state[r][2]]
         buckets = sorted({state[r][0] for r in open_cuts})
         rows_in = sum(hist.get(b, 0) for b in buckets)
-        if rows_in <= collect_max or length >= 32:
+        if rows_in <= collect_max or length >= digits:
             break
         nxt = _histogram(h, length + PREFIX_HEX, buckets, length)
         for r in open_cuts:
@@ -105,12 +115,11 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
     def prefix_above(pref: str) -> Column:
         return F.substring(hc, 1, len(pref)) > F.lit(pref)
 
+    full: dict[int, tuple[str, int, bool]] = {}
     open_cuts = [r for r in inner if not state[r][2]]
-    if open_cuts and rows_in > collect_max:
-        return _window_fallback(h, cols, inner, state, always, key_col, out_col)
-    if open_cuts and length >= 32 and any(hist.get(state[r][0], 0) > 1 for r in open_cuts):
+    if open_cuts and (rows_in > collect_max or length >= digits and any(hist.get(state[r][0], 0) > 1 for r in open_cuts)):
         # a cut inside a group of identical keys: key comparison cannot split it
-        return _window_fallback(h, cols, inner, state, always, key_col, out_col)
+        return tied()
     thresholds: dict[int, tuple[str, str]] = {}
     if open_cuts:
         buckets = sorted({state[r][0] for r in open_cuts})
@@ -118,7 +127,6 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
                 .select(hc.alias("h"), kc.alias("k")).collect())
         keys = sorted((r["h"], r["k"]) for r in keys)
         ties = False
-        full: dict[int, tuple[str, int, bool]] = {}
         for r in open_cuts:
             pref, off, _ = state[r]
             in_bucket = [x for x in keys if x[0].startswith(pref)]
@@ -128,8 +136,8 @@ def rank_groups(df: DataFrame, cut_ranks, key_col: str = KEY, seed: int = 42,
             first = next(j for j, x in enumerate(in_bucket) if x == in_bucket[i])
             full[r] = (in_bucket[i][0], off + first, False)
         if ties:
-            # a cut inside a run of identical keys: rank that run by position
-            return _window_fallback(h, cols, inner, {**state, **full}, always, key_col, out_col)
+            # a cut inside a run of identical keys
+            return tied()
     g = F.lit(always)
     for r in inner:
         if r in thresholds:

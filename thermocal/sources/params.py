@@ -145,6 +145,9 @@ def collect_small(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+#: Most rows of a parameter table that is written or inlined (two for each category).
+MAX_PARAMETER_ROWS = 200_000
+
 # --- readers (S3) ----------------------------------------------------------
 
 _MAP = T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))
@@ -180,19 +183,42 @@ def read_single_params_json(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.inline(rows))
 
 
+def document_kind(spark: SparkSession, path: str) -> str:
+    """What a JSON parameter file holds, by the top-level fields of its whole documents:
+    'multi' or 'single' (nested and flat documents) or 'rows' (a normalised parameter table)."""
+    fields = [*_MULTI_JSON.fields[:2], *_SINGLE_JSON.fields[:1], T.StructField("side", T.StringType()),
+              T.StructField("degree", T.IntegerType())]
+    doc = spark.read.schema(T.StructType(fields)).option("multiLine", True).json(path)
+    seen = doc.agg(*[F.count(f.name).alias(f.name) for f in fields]).first()
+    if seen["line_parm_right"] or seen["line_parm_left"]:
+        return "multi"
+    if seen["right_slope"]:
+        return "single"
+    if seen["side"] or seen["degree"]:
+        return "rows"
+    raise InvalidInputError(f"{path} holds no parameters of a known form")
+
+
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """Is every record on a line of its own (as Spark writes them), not spread over lines?"""
+    key = schema.fieldNames()[0]
+    return spark.read.schema(schema).json(path).agg(F.count(key) == F.count("*")).first()[0]
+
+
 def read_params(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Normalised parameter table from parquet (our format) or json (either format)."""
     schema = {"single": SINGLE_SCHEMA, "multi": MULTI_SCHEMA, "poly": POLY_SCHEMA}[kind]
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
-    # one document per file (pretty-printed, as the reference writes them) or JSON lines
-    multi = path.rstrip("/").endswith(".json")
-    return spark.read.schema(schema).option("multiLine", multi).json(path)
+    # records on lines of their own, or one pretty-printed document a file
+    return spark.read.schema(schema).option("multiLine", not _json_lines(spark, path, schema)).json(path)
 
 
 def save_params(params: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> str:
     """K4: write a parameter table; an empty (unfitted) table is refused."""
-    if params.limit(1).count() == 0:
+    # A parameter table is small: it is computed once, checked and written from its rows.
+    rows = collect_small(params, MAX_PARAMETER_ROWS, "parameters")
+    if not rows:
         raise NotFittedError("model not fitted yet, cannot save parameters")
-    params.coalesce(1).write.mode(mode).format(fmt).save(path)
+    params.sparkSession.createDataFrame(rows, params.schema).coalesce(1).write.mode(mode).format(fmt).save(path)
     return path
