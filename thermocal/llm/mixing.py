@@ -62,7 +62,7 @@ def targets(sources: DataFrame, max_repeats: int, budget: Column | None = None)
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, seed: int = 8, buckets: int = 256) -> DataFrame:
-    """One row per document: id, row, source, size, source_size, target, copies (taken),
+    """One row per document: id, text_hash (``xxhash64``, 42 for null), row, source, size, source_size, target, copies (taken),
     first_finish (virtual finish time of the first copy). ``row`` numbers the rows of the
     narrow table, for rows that share an id."""
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     inside = Window.partitionBy("source", "bucket").orderBy("key", "tie", "row").rowsBetween(Window.unboundedPreceding, 0)
     queued = (keyed.withColumn("within", F.sum("size").over(inside)).alias("k")
               .join(plan.alias("p"), F.col("k.source").eqNullSafe(F.col("p.source")) & (F.col("k.bucket") == F.col("p.bucket")))
-              .select("k.id", "k.row", "k.source", "k.key", "k.size", "p.source_size", "p.target",
+              .select("k.id", "k.tie", "k.row", "k.source", "k.key", "k.size", "p.source_size", "p.target",
                       (F.col("before") + F.col("within")).alias("done")))
     queued = stored(queued, "mix-queue")
     copies = (queued.filter("size > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
@@ -90,10 +90,25 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     cut = _cut(copies, queued)
     taken = copies.filter(_before(cut)).groupBy("row").agg(F.count("*").alias("copies"), F.min("finish").alias("first_finish"))
     return (queued.join(taken, "row", "left")
-            .select("id", "row", "source", "size", "source_size", "target",
+            .select("id", F.col("tie").alias("text_hash"), "row", "source", "size", "source_size", "target",
                     F.coalesce("copies", F.lit(0)).cast("long").alias("copies"), "first_finish"))
 
 
+def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows that the mix takes, each as often as it is taken, with the columns of ``docs``."""
+    plan = mix(docs, id_col=id_col, text_col=text_col, **how)
+    # Rows equal in id and text are dealt the plan's rows for them in any order.
+    plan = (plan.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
+            .withColumnsRenamed({"id": "__pid", "text_hash": "__ph"}))
+    ident, text = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
+    rows = docs.withColumn("__id", ident).withColumn("__h", text)
+    rows = rows.join(plan, rows["__id"].eqNullSafe(plan["__pid"]) & (rows["__h"] == plan["__ph"]))
+    nth = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__ph"))
+    taken = F.when(F.size("__copies") == 1, F.get("__copies", F.lit(0))).otherwise(F.get("__copies", F.col("__n") - 1))
+    rows = rows.withColumn("__n", nth).withColumn("__taken", taken.cast("int")).filter("__taken > 0")
+    return rows.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__taken")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 _FINE = 4096
 
 

@@ -1,9 +1,10 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document is the set of its distinct word shingles (64-bit hashes). Documents with equal
-sets are one *class*; all further work is on classes. Shingles have one global order:
-rarest first by a count table over all documents (``2 ** TABLE`` hashed counters, a fixed
-size), then by hash. A pair of Jaccard similarity >= t shares at least ceil(t * n) of the
+sets are one *class*; all further work is on classes. Shingles have one global order,
+rarest first, by what two count tables over all documents (``2 ** TABLE`` hashed counters
+each, a fixed size) lead one to expect: how often its words would meet by chance, or how
+far its own counter stands out, whichever is more; then by hash. A pair of Jaccard similarity >= t shares at least ceil(t * n) of the
 n shingles of either, so the first ``n - ceil(t * n) + l`` shingles of both have at least
 ``l`` in common: the l-prefix.
 
@@ -12,7 +13,9 @@ n shingles of either, so the first ``n - ceil(t * n) + l`` shingles of both have
   ``MOST``): a longer prefix costs more postings, but a pair then needs more matches before
   it is verified, the smaller ``l`` of its two classes. Prefixes are nested, so pairs of
   classes with different ``l`` meet that often at least.
-* Verification intersects the full sets, exactly.
+* Verification is exact, in two steps: the shingles whose hash falls into the lowest ``1 / HEAD`` of
+  the range differ by no more than the whole sets may, which most pairs fail on an
+  eighth of the bytes; the others intersect their full sets.
 
 Only connectivity is asked for, so a list's classes are first compared with one leader
 (the same for a class in most of its lists), and verified links make components. Pairs
@@ -27,6 +30,7 @@ component is named by its least id (null only if all its ids are null).
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -46,9 +50,11 @@ from .components import components
 TABLE = 20    #: log2 of the counters that order shingles
 SLICES = 64   #: parts in which counters are summed
 FILTER = 23   #: log2 of the bits of the filter over wanted classes
-MOST = 4      #: longest multi-match prefix
+MOST = 5      #: longest multi-match prefix
 LEADERS = 2   #: rounds of comparisons with leaders before the remaining pairs are formed
-VERIFY = 32   #: cost of verifying a candidate, in postings
+VERIFY = 300  #: cost of verifying a candidate, in postings
+HEAD = 8      #: part of the hash range that is compared first
+PIECE = 4 << 20  #: bytes of texts that are cut into shingles at a time (one longer text makes a piece alone)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -70,9 +76,21 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, ends
 
 
-def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    words, ends = word_hashes(texts)
+def word_pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, end, word hashes, word bounds) for pieces of the batch."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(size) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield a, b, *word_hashes(texts.slice(a, b - a))
+
+
+def bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - TABLE)).astype(np.int64)
+
+
+def shingles(words: np.ndarray, ends: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its sorted distinct shingle hashes, and the place of each in ``words``."""
     whole = np.zeros(len(words), np.uint64)
     reach = len(words) - size + 1
     if reach > 0:
@@ -80,20 +98,22 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         for k in range(size):
             h = _mixed(h * _P1 + words[k:k + reach])
         whole[:reach] = h
-    for a, b in zip(ends[:-1], ends[1:]):
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
         if b - a >= size:
-            yield np.unique(whole[a:b - size + 1])
+            u, at = np.unique(whole[a:b - size + 1], return_index=True)
+            yield u, at + a
         elif b > a:
             h = np.full(1, b - a, np.uint64)
             for w in words[a:b]:
                 h = _mixed(h * _P1 + w + np.uint64(1))
-            yield h
+            yield h, np.full(1, a)
         else:
-            yield words[:0]
+            yield words[:0], np.zeros(0, np.int64)
 
 
-def set_key(u: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(u.tobytes()) if len(u) else None
+def set_key(u: np.ndarray) -> tuple[int, int] | None:
+    """128 bits that stand for the set."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(u.tobytes())) if len(u) else None
 
 
 def needed(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -101,38 +121,36 @@ def needed(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return -(-n * num // den)
 
 
-_CLASSES = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slice", pa.int32()),
+_CLASSES = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("slice", pa.int32()),
                       ("part", pa.int32()), ("counts", pa.binary())])
 
 
+def _key_columns(keys: list[tuple[int, int] | None]) -> list[pa.Array]:
+    return [pa.array([k and k[i] for k in keys], pa.int64()) for i in (0, 1)]
+
+
 def _classes(size: int):
-    """Rows of documents (id, n, key), then the partition's shingle counts in slices."""
+    """Rows of documents (id, n, key), then the partition's counts of words and shingles in slices."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << TABLE, np.uint32)
+        counts = np.zeros((2, 1 << TABLE), np.uint32)
         for b in batches:
-            ns, keys, pending, held = [], [], [], 0
-            for u in shingle_sets(b.column("t"), size):
-                ns.append(len(u))
-                keys.append(set_key(u))
-                pending.append((u >> np.uint64(64 - TABLE)).astype(np.int64))
-                held += len(u)
-                if held > 1 << 21:
-                    counts += np.bincount(np.concatenate(pending), minlength=1 << TABLE).astype(np.uint32)
-                    pending, held = [], 0
-            if pending:
-                counts += np.bincount(np.concatenate(pending), minlength=1 << TABLE).astype(np.uint32)
-            none = pa.nulls(len(ns), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()), none, none,
-                                              pa.nulls(len(ns), pa.binary())], schema=_CLASSES)
+            for first, end, words, ends in word_pieces(b.column("t")):
+                np.add.at(counts[0], bucket(words), 1)
+                sets = [u for u, _ in shingles(words, ends, size)]
+                np.add.at(counts[1], bucket(np.concatenate(sets)), 1)
+                none = pa.nulls(len(sets), pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    b.column("i").slice(first, end - first), b.column("h").slice(first, end - first), pa.array([len(u) for u in sets], pa.int64()),
+                    *_key_columns([set_key(u) for u in sets]), none, none, pa.nulls(len(sets), pa.binary())], schema=_CLASSES)
         part = TaskContext.get().partitionId()
-        for k, c in enumerate(np.split(counts, SLICES)):
+        for k, c in enumerate(np.split(counts.ravel(), SLICES)):
             if c.any():
                 yield pa.RecordBatch.from_pylist([{"slice": k, "part": part, "counts": zlib.compress(c.tobytes(), 1)}], _CLASSES)
     return run
 
 
 def _sum_counts(rows: DataFrame, parts: int) -> np.ndarray:
-    """Adds the partitions' slices up, 64 at a time, and returns the whole table (4 << TABLE bytes)."""
+    """Adds the partitions' slices up, 64 at a time; returns both tables (8 << TABLE bytes)."""
     def add(pdf):
         total = sum(np.frombuffer(zlib.decompress(c), np.uint32).astype(np.uint64) for c in pdf["counts"])
         out = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
@@ -142,97 +160,147 @@ def _sum_counts(rows: DataFrame, parts: int) -> np.ndarray:
         parts = -(-parts // 64)
         rows = (rows.withColumn("part", (F.col("part") / 64).cast("int")).groupBy("slice", "part")
                 .applyInPandas(lambda pdf: add(pdf), "slice int, part int, counts binary"))
-    table = np.zeros((SLICES, (1 << TABLE) // SLICES), np.uint32)
+    table = np.zeros((SLICES, (2 << TABLE) // SLICES), np.uint32)
     for r in rows.collect():
         table[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
-    return table.ravel()
+    return table.reshape(2, 1 << TABLE)
+
+
+class Order:
+    """Ranks of shingles in whole numbers (256ths of a power of two), so all tasks agree to the bit."""
+
+    def __init__(self, counts: np.ndarray, size: int):
+        logs = lambda x: np.round(256 * np.log2(np.maximum(x, 1))).astype(np.int32)
+        words, own = counts.astype(np.float64)
+        self.size, self.word = size, logs(words)
+        # occurrences by chance: the product of the words' shares, times all occurrences
+        self.chance = int(round(256 * (size - 1) * np.log2(max(1.0, words.sum()))))
+        mean = own.mean()
+        self.own = np.where(own > mean + 4 * np.sqrt(mean) + 1, logs(own - mean), -1 << 20).astype(np.int32)
 
+    def ranks(self, u: np.ndarray, at: np.ndarray, word_ranks: np.ndarray) -> np.ndarray:
+        """A number for each shingle, less for rarer ones; ``word_ranks``: of the batch's words."""
+        chance = np.zeros(len(u), np.int64)
+        for k in range(self.size):
+            chance += word_ranks[np.minimum(at + k, len(word_ranks) - 1)]
+        rank = np.maximum(chance - self.chance, self.own[bucket(u)]) + (1 << 20)
+        return (np.maximum(rank, 0).astype(np.uint64) << np.uint64(40)) | (u & np.uint64((1 << 40) - 1))
 
-_POSTS = pa.schema([("token", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("pos", pa.int32())])
 
+_POSTS = pa.schema([("token", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
-def _postings(size: int, num: int, den: int, table):
+
+def _postings(size: int, num: int, den: int, order):
     """Prefix shingles of each class, rarest first; a class once in a partition's recent past."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = table.value, set()
+        o, seen = order.value, set()
         for b in batches:
-            tokens, keys, ns, places = [], [], [], []
-            for u in shingle_sets(b.column("t"), size):
-                key = set_key(u)
-                if key is None or key in seen:
-                    continue
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.add(key)
-                n = len(u)
-                most = min(n, int(n - needed(n, num, den) + MOST))
-                # u ascends, so a stable sort by (count, part of the hash) is the same order everywhere
-                rank = (np.minimum(counts[u >> np.uint64(64 - TABLE)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (u & np.uint64((1 << 40) - 1))
-                tokens.append(u[np.argsort(rank, kind="stable")[:most]])
-                keys.append(key)
-                ns.append(n)
-                places.append(np.arange(most, dtype=np.int32))
-            if keys:
-                lens = [len(t) for t in tokens]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(tokens).view(np.int64)),
-                    pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(keys)), lens))),
-                    pa.array(np.repeat(np.array(ns, np.int32), lens)), pa.array(np.concatenate(places))], schema=_POSTS)
+            for _, _, words, ends in word_pieces(b.column("t")):
+                word_ranks = o.word[bucket(words)]
+                tokens, keys, ns, places = [], [], [], []
+                for u, at in shingles(words, ends, size):
+                    key = set_key(u)
+                    if key is None or key in seen:
+                        continue
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(key)
+                    n = len(u)
+                    most = min(n, int(n - needed(n, num, den) + MOST))
+                    # a text too short for a shingle has one, whose rank does not matter
+                    rank = o.ranks(u, at, word_ranks) if n > 1 else u
+                    # u ascends, so a stable sort is the same order everywhere
+                    tokens.append(u[np.argsort(rank, kind="stable")[:most]])
+                    keys.append(key)
+                    ns.append(n)
+                    places.append(np.arange(most, dtype=np.int32))
+                if keys:
+                    lens = [len(t) for t in tokens]
+                    spread = pa.array(np.repeat(np.arange(len(keys)), lens))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.concatenate(tokens).view(np.int64)), *[c.take(spread) for c in _key_columns(keys)],
+                        pa.array(np.repeat(np.array(ns, np.int32), lens)), pa.array(np.concatenate(places))], schema=_POSTS)
     return run
 
 
-def _filter_bits(keys: DataFrame) -> np.ndarray:
-    """Bits of the classes' keys: a fixed-size filter without false negatives."""
+def _bit(key):
+    """The key's place in a filter. Keys are hashes, or numbers counted from 0 in each partition."""
+    key = np.asarray(key, np.int64).view(np.uint64)
+    return ((key * _P1) >> np.uint64(64 - FILTER)).astype(np.int64)
+
+
+def _filter_bits(keys: DataFrame, *columns: str) -> np.ndarray:
+    """Bits of all values of the columns: a fixed-size filter without false negatives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER, bool)
         for b in batches:
-            bits[[int.from_bytes(k[:4], "little") >> (32 - FILTER) for k in b.column("key").to_pylist()]] = True
+            for c in b.columns:
+                bits[_bit(c.to_numpy(zero_copy_only=False))] = True
         yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
     out = np.zeros((1 << FILTER) // 8, np.uint8)
-    for r in keys.select("key").coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
+    for r in keys.select(*columns).coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
         out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return np.unpackbits(out).astype(bool)
 
 
 def _sets(size: int, wanted):
+    """Key, head and whole set of the wanted classes (and of a few that share their bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
+        top = np.uint64((1 << 64) // HEAD)
         for b in batches:
-            keys, sets = [], []
-            for u in shingle_sets(b.column("t"), size):
-                key = set_key(u)
-                if key is None or key in seen or not bits[int.from_bytes(key[:4], "little") >> (32 - FILTER)]:
-                    continue
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.add(key)
-                keys.append(key)
-                sets.append(u.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["key", "set"])
+            for _, _, words, ends in word_pieces(b.column("t")):
+                keys, heads, sets = [], [], []
+                for u, _ in shingles(words, ends, size):
+                    key = set_key(u)
+                    if key is None or key in seen or not bits[_bit(key[0])]:
+                        continue
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(key)
+                    keys.append(key)
+                    heads.append(u[:np.searchsorted(u, top)].tobytes())
+                    sets.append(u.tobytes())
+                yield pa.RecordBatch.from_arrays([*_key_columns(keys), pa.array([len(x) // 8 for x in sets], pa.int32()),
+                                                  pa.array(heads, pa.binary()), pa.array(sets, pa.binary())], names=["k1", "k2", "n", "head", "set"])
     return run
 
 
 def _linked(num: int, den: int):
-    def run(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """Are two sets similar enough, or, given heads and sizes, may they be?"""
+    def run(xs: pa.Array, ys: pa.Array, nx: pa.Array, ny: pa.Array) -> pa.Array:
         out = []
-        for x, y in zip(xs, ys):
+        for x, y, n, m in zip(xs, ys, nx.to_pylist(), ny.to_pylist()):
             a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(den * both >= num * (len(a) + len(b) - both))
+            apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
+            # den * both >= num * either, where both = (n + m - apart) / 2
+            out.append((den - num) * (n + m) >= (den + num) * apart)
         return pa.array(out, pa.bool_())
     return arrow_udf(run, "boolean")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar enough."""
-    left = sets.select(F.col("key").alias("x"), F.col("set").alias("sx"))
-    right = sets.select(F.col("key").alias("y"), F.col("set").alias("sy"))
-    return pairs.select("x", "y").join(left, "x").join(right, "y").filter(_linked(num, den)("sx", "sy")).select("x", "y")
+    def joined(p: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        a = table.select(F.col("c").alias("x"), F.col(column).alias("sx"), F.col("n").alias("nx"))
+        b = table.select(F.col("c").alias("y"), F.col(column).alias("sy"), F.col("n").alias("ny"))
+        return p.join(a, "x").join(b, "y").filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y")
+
+    likely = stored(joined(pairs.select("x", "y"), heads, "head"), "ngram-likely")
+    bits = heads.sparkSession.sparkContext.broadcast(_filter_bits(
+        likely.select(F.explode(F.array("x", "y")).alias("c")).distinct().join(classes, "c").select("k1"), "k1"))
+
+    def among(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for k in it:
+            yield pa.array(bits.value[_bit(k.to_numpy(zero_copy_only=False))])
+    few = sets.filter(arrow_udf(among, "boolean")("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"])
+    return joined(likely, few, "set")
 
 
 def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                   threshold: float = 0.8) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (least id reachable by links)."""
+    """One row per document: id, text_hash (``xxhash64``, 42 for null), n_shingles, component_id
+    (least id reachable by links)."""
     spark = docs.sparkSession
     ship_package(spark)
     share = Fraction(threshold).limit_denominator(10_000)
@@ -240,61 +308,63 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     if not 0 < share <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").alias("t"))
-    first = stored(texts.mapInArrow(_classes(size), "id bigint, n bigint, key binary, slice int, part int, counts binary"), "ngram-classes")
-    rows = first.filter("slice IS NULL").select("id", "n", "key")
+    texts = texts.withColumn("h", F.xxhash64("t"))
+    first = stored(texts.mapInArrow(_classes(size), "id bigint, h bigint, n bigint, k1 bigint, k2 bigint, slice int, part int, counts binary"),
+                   "ngram-documents")
+    rows = first.filter("slice IS NULL").select("id", "h", "n", "k1", "k2")
     slices = first.filter("slice IS NOT NULL")
     parts = slices.agg(F.max("part")).first()[0]
-    table = spark.sparkContext.broadcast(_sum_counts(slices, 1 + (parts or 0)))
+    order = spark.sparkContext.broadcast(Order(_sum_counts(slices, 1 + (parts or 0)), size))
 
-    posts = stored(texts.select("t").mapInArrow(_postings(size, num, den, table), "token bigint, key binary, n int, pos int")
-                   .dropDuplicates(["token", "key"]), "ngram-posts")
-    lists = posts.groupBy("token").agg(F.count("*").alias("len")).filter("len > 1")
-    shared = stored(posts.join(lists, "token"), "ngram-shared")
+    posts = stored(texts.select("t").mapInArrow(_postings(size, num, den, order), "token bigint, k1 bigint, k2 bigint, n int, pos int"), "ngram-posts")
+    repeated = posts.groupBy("token").agg(F.count("*").alias("posts")).filter("posts > 1").select("token")
+    # copies of a class post alike; what they leave is one row for a class and token
+    shared = stored(posts.join(repeated, "token").dropDuplicates(["token", "k1", "k2"]), "ngram-shared")
     dropped(posts)
-    chosen = _chosen(shared, num, den)
-    live = stored(shared.join(chosen, "key").filter(F.col("pos") < F.col("keep")).select("token", "key", "n", "pos", "l"), "ngram-live")
+    lists = shared.groupBy("token").agg(F.count("*").alias("len")).filter("len > 1")
+    classes = stored(shared.join(lists, "token", "left_semi").select("k1", "k2").distinct().withColumn("c", F.monotonically_increasing_id()), "ngram-classes")
+    met = stored(shared.join(lists, "token").join(classes, ["k1", "k2"]).select("token", "c", "n", "pos", "len"), "ngram-met")
     dropped(shared)
+    chosen = _chosen(met, num, den)
+    live = stored(met.join(chosen, "c").filter(F.col("pos") < F.col("keep")).select("token", "c", "n", "pos", "l"), "ngram-live")
+    dropped(met)
 
-    wanted = spark.sparkContext.broadcast(_filter_bits(live.select("key").distinct()))
-    sets = texts.select("t").mapInArrow(_sets(size, wanted), "key binary, set binary")
-    sets = stored(sets.join(live.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "ngram-sets")
+    wanted = spark.sparkContext.broadcast(_filter_bits(classes, "k1"))
+    sets = stored(texts.select("t").mapInArrow(_sets(size, wanted), "k1 bigint, k2 bigint, n int, head binary, set binary"), "ngram-sets")
+    heads = stored(sets.select("k1", "k2", "n", "head").join(classes, ["k1", "k2"]).dropDuplicates(["c"]).select("c", "n", "head"), "ngram-heads")
 
-    links = None
-    group = live.withColumn("c", F.col("key"))
+    links, group = None, live.withColumn("g", F.col("c"))
     for step in range(LEADERS + 1):
         pairs = _leader_pairs(group, step, num, den) if step < LEADERS else _remaining_pairs(group, num, den)
-        found = _verified(pairs, sets, num, den)
+        found = _verified(pairs, heads, sets, classes, num, den)
         links = stored(found if links is None else found.union(links), "ngram-links")
+        joined = components(links, "x", "y")
         if step < LEADERS:
-            joined = components(links, "x", "y")
-            group = _still_open(live.join(joined.withColumnRenamed("node", "key"), "key", "left")
-                                .withColumn("c", F.coalesce("root", "key")).drop("root"))
-    joined = components(links, "x", "y")
-    least = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("low"))
-    named = least.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    roots = named.groupBy("root").agg(F.min("low").alias("component"))
-    by_key = named.join(roots, "root").select("key", "component")
-    return (rows.join(by_key, "key", "left")
-            .select("id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")))
-
-
-def _chosen(shared: DataFrame, num: int, den: int) -> DataFrame:
+            group = _still_open(live.join(joined.withColumnRenamed("node", "c"), "c", "left")
+                                .withColumn("g", F.coalesce("root", "c")).drop("root"))
+    least = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("low"))
+    named = (least.join(classes, ["k1", "k2"], "left").join(joined.withColumnRenamed("node", "c"), "c", "left")
+             .withColumn("root", F.coalesce("root", "c")))
+    # classes that met no other are components of their own
+    apart = named.filter("root IS NULL").select("k1", "k2", F.col("low").alias("component"))
+    joint = named.filter("root IS NOT NULL")
+    by_key = apart.union(joint.join(joint.groupBy("root").agg(F.min("low").alias("component")), "root").select("k1", "k2", "component"))
+    return (rows.join(by_key, ["k1", "k2"], "left")
+            .select("id", F.col("h").alias("text_hash"), F.col("n").alias("n_shingles"),
+                    F.when(F.col("k1").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")))
+
+
+def _chosen(met: DataFrame, num: int, den: int) -> DataFrame:
     """Each class's l of least estimated cost: postings read, and candidates verified, of which
     the postings allow at most one for every l."""
-    base = n_less(num, den)
+    n = F.col("n").cast("long")
+    base = n - F.expr(f"(cast(n as bigint) * {num} + {den - 1}) div {den}")
     sums = [F.sum(F.when(F.col("pos") < F.col("base") + l, F.col("len") - 1).otherwise(0)).alias(f"s{l}") for l in range(1, MOST + 1)]
-    by_class = shared.withColumn("base", base).groupBy("key").agg(F.first("n").alias("n"), F.first("base").alias("base"), *sums)
+    by_class = met.withColumn("base", base).groupBy("c").agg(F.max("n").alias("n"), F.max("base").alias("base"), *sums)
     cost = [F.when(F.col("n") >= F.col("base") + l, F.struct((F.col(f"s{l}") * (1 + VERIFY / l)).alias("cost"), F.lit(l).alias("l")))
             for l in range(1, MOST + 1)]
     best = F.array_min(F.array_compact(F.array(*cost)))
-    return by_class.select("key", best["l"].alias("l"), (F.col("base") + best["l"]).alias("keep"))
-
-
-def n_less(num: int, den: int):
-    """n - ceil(num * n / den) in whole numbers."""
-    n = F.col("n").cast("long")
-    return n - F.expr(f"(cast(n as bigint) * {num} + {den - 1}) div {den}")
+    return by_class.select("c", best["l"].alias("l"), (F.col("base") + best["l"]).alias("keep"))
 
 
 def _fits(n: str, m: str, num: int, den: int):
@@ -303,28 +373,28 @@ def _fits(n: str, m: str, num: int, den: int):
 
 
 def _leader_pairs(group: DataFrame, step: int, num: int, den: int) -> DataFrame:
-    """For each class one pair: with the leader that leads most of its lists. A list's leader is
-    its class of least hash, so near copies share one; the next step hashes anew."""
-    lead = group.groupBy("token").agg(F.min(F.struct(F.xxhash64("key", F.lit(step)).alias("h"), F.col("key").alias("y"),
-                                                     F.col("n").alias("m"), F.col("c").alias("d"))).alias("lead"))
-    met = (group.join(lead, "token").filter((F.col("c") != F.col("lead.d")) & _fits("n", "lead.m", num, den))
-           .groupBy(F.col("key").alias("x"), F.col("lead.y").alias("y")).agg(F.count("*").alias("k")))
-    return met.groupBy("x").agg(F.max(F.struct("k", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
+    """For each class at most one pair: with the leader that leads most of its lists, if it meets
+    it as often as it must. A list's leader is its class of least hash, so near copies share
+    one; the next step hashes anew. (What is missed here, the remaining pairs hold.)"""
+    lead = group.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("y"), F.col("n").alias("m"), "l", "g"), F.xxhash64("c", F.lit(step))).alias("lead"))
+    met = (group.join(lead, "token").filter((F.col("g") != F.col("lead.g")) & _fits("n", "lead.m", num, den))
+           .groupBy(F.col("c").alias("x"), F.col("lead.y").alias("y")).agg(F.count("*").alias("k"), F.min(F.least("l", "lead.l")).alias("l")))
+    return met.filter("k >= l").groupBy("x").agg(F.max_by("y", F.struct("k", "y")).alias("y"))
 
 
 def _still_open(group: DataFrame) -> DataFrame:
     """Postings of lists that hold more than one component, stored."""
-    mixed = group.groupBy("token").agg(F.min("c").alias("p"), F.max("c").alias("q")).filter("p <> q").select("token")
+    mixed = group.groupBy("token").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p <> q").select("token")
     return stored(group.join(mixed, "token"), "ngram-open")
 
 
 def _remaining_pairs(group: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes in different components that match as often as they must."""
-    a = group.select("token", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("l").alias("lx"), F.col("c").alias("cx"))
-    b = group.select("token", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("l").alias("ly"), F.col("c").alias("cy"))
-    met = (a.join(b, "token").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _fits("nx", "ny", num, den))
-           .groupBy("x", "y").agg(F.count("*").alias("k"), F.min(F.least("lx", "ly")).alias("l"), F.first("nx").alias("nx"),
-                                  F.first("ny").alias("ny"), F.min("px").alias("px"), F.min("py").alias("py")))
+    a = group.select("token", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("l").alias("lx"), F.col("g").alias("gx"))
+    b = group.select("token", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("l").alias("ly"), F.col("g").alias("gy"))
+    met = (a.join(b, "token").filter((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _fits("nx", "ny", num, den))
+           .groupBy("x", "y").agg(F.count("*").alias("k"), F.min(F.least("lx", "ly")).alias("l"), F.max("nx").alias("nx"),
+                                  F.max("ny").alias("ny"), F.min("px").alias("px"), F.min("py").alias("py")))
     # nothing before the first match is shared, so this is the most that can be
     room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
     return met.filter((F.col("k") >= F.col("l")) & (room * (num + den) >= (F.col("nx") + F.col("ny")) * num)).select("x", "y")
