@@ -45,3 +45,68 @@ k AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS copies FROM g WHERE run <= (SEL
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST(q.size * coalesce(k.copies, 0) AS BIGINT) AS taken
 FROM q LEFT JOIN k USING (doc_id)
 """
+
+# Least id reachable over links, by closure (for the small tables of a check).
+_CLOSURE = """
+reach(node, root) AS (SELECT {id}, {id} FROM {nodes} UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+"""
+
+ORACLE["op2_vector_links"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT vec_id, x, list_dot_product(x, x) AS sq FROM v
+      WHERE x IS NOT NULL AND len(x) > 0 AND len([c FOR c IN x IF c IS NULL OR NOT isfinite(c)]) = 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+          WHERE p.sq > 0 AND q.sq > 0 AND list_dot_product(p.x, q.x) / sqrt(p.sq * q.sq) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+{_CLOSURE.format(id='vec_id', nodes='v')}
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
+FROM v JOIN comp ON comp.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
+
+ORACLE["op4_ngram_join"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS g FROM w),
+t AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+common AS (SELECT g FROM t GROUP BY g HAVING count(*) > 1),
+both_ AS (SELECT p.doc_id AS a, q.doc_id AS b, any_value(p.n) AS n, any_value(q.n) AS m, count(*) AS k
+          FROM t p JOIN common USING (g) JOIN t q USING (g) WHERE p.doc_id <> q.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ WHERE 100 * k >= 90 * (n + m - k)),
+{_CLOSURE.format(id='doc_id', nodes='s')}
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, comp.component_id FROM s JOIN comp ON comp.node = s.doc_id
+"""
+
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _matches(kind: int, name: str, pattern: str, group: int, keep: str) -> str:
+    """Matches with their offsets: what stands between them, and they themselves, summed up."""
+    return f"""SELECT doc_id, source, lang, {kind} AS kind, '{name}' AS name, s AS secret,
+    CAST(sum(g + n) OVER o - n AS BIGINT) AS start, CAST(sum(g + n) OVER o AS BIGINT) AS "end", {keep} AS keep
+  FROM (SELECT doc_id, source, lang, i, length(m[i]) AS n, length(gaps[i]) AS g, ss[i] AS s FROM (
+    SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT doc_id, source, lang, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS ss,
+             string_split_regex(t, '{pattern}') AS gaps FROM d)))
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)"""
+
+
+ORACLE["op6_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+every AS ({_matches(0, 'assign', _ASSIGN, 1, 'length(s) >= 6')} UNION ALL {_matches(1, 'access', 'AKIA[A-Z0-9]+', 0, 'length(s) >= 20')}
+  UNION ALL {_matches(2, 'hex', '[0-9a-f]+', 0, 'length(s) >= 24')}
+  UNION ALL {_matches(3, 'owned', '[A-Za-z0-9+/_-]+', 0, "length(s) >= 32 AND regexp_matches(s, '[0-9]') AND regexp_matches(s, '[A-Za-z]')")}),
+kept AS (SELECT * FROM every WHERE keep),
+free AS (SELECT * FROM kept k WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM kept b WHERE b.kind < 3 AND b.doc_id = k.doc_id
+         AND b.start < k."end" AND k.start < b."end")),
+owners AS (SELECT secret, count(DISTINCT coalesce('=' || source, 'null')) AS n FROM free GROUP BY secret),
+judged AS (SELECT free.*, owners.n <= 1 AS live FROM free JOIN owners USING (secret)),
+listed AS (SELECT *, name || ':' || start || ':' || "end" AS s FROM judged WHERE kind < 3 OR live),
+per AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+               string_agg(s, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(s, ',' ORDER BY start, kind) AS spans,
+               count(*) FILTER (kind = 3) AS n_owned, count(*) FILTER (live) AS n_live FROM listed GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       CAST(coalesce(n_owned, 0) AS BIGINT) AS n_owned, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live
+FROM d LEFT JOIN per USING (doc_id)
+"""
