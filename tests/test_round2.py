@@ -70,3 +70,36 @@ def test_t_tail():
         assert two_sided_p(t, n) == pytest.approx(1 - math.sin(theta) * total, rel=1e-9)
     assert two_sided_p(2.0, 1e12) == pytest.approx(math.erfc(math.sqrt(2)), rel=1e-9)
     assert two_sided_p(0.0, 7) == 1.0 and 0 < two_sided_p(30.0, 86029) < 1e-190
+
+
+def test_nested_split_is_the_split_of_the_training_part(spark, sf_small):
+    from thermocal.operators.split import nested_split
+    r = fx.readings(spark, sf_small).select("sample_id")
+    outer = train_test_split(r, 0.15, 42)
+    inner = train_test_split(outer.where("split = 'train'").drop("split"), 0.2, 42)
+    want = {x["sample_id"]: "test" for x in outer.where("split = 'test'").collect()}
+    want |= {x["sample_id"]: "val" if x["split"] == "test" else "train" for x in inner.collect()}
+    assert {x["sample_id"]: x["split"] for x in nested_split(r).collect()} == want
+
+
+def test_missing_features_give_null_or_an_error(spark, sf_small):
+    from thermocal.operators.trees import predict_model, train_random_forest
+    from thermocal.schema import FEATURES
+    rows = fx.readings(spark, sf_small).limit(200)
+    hole = rows.withColumn(FEATURES[1], F.when(F.col("category") == "1", None).otherwise(F.col(f"`{FEATURES[1]}`")))
+    model = train_random_forest(hole, num_trees=3, max_depth=3)
+    scored = predict_model(hole, model)
+    assert scored.filter((F.col("Predicted").isNull()) != (F.col("category") == "1")).count() == 0
+    with pytest.raises(Exception):
+        predict_model(hole, model, on_missing="error").collect()
+    with pytest.raises(InvalidInputError):
+        train_random_forest(rows, max_depth=50)
+
+
+def test_degree_range_equals_single_fits(spark, sf_small):
+    from thermocal.operators.polyfit import fit_polynomial, fit_polynomials
+    rows = fx.readings(spark, sf_small)
+    many = fit_polynomials(rows, (1, 2))
+    for d in (1, 2):
+        one = fit_polynomial(rows, d)
+        assert many[d].rank == one.rank and many[d].coefficients == pytest.approx(one.coefficients, rel=1e-6, abs=1e-9)

@@ -214,6 +214,32 @@ def train_test_split(df: DataFrame, test_size: float = 0.15, seed: int = 42, key
     return g.withColumn(split_col, F.when(F.col("__g") == 0, F.lit("test")).otherwise(F.lit("train"))).drop("__g")
 
 
+def nested_split(df: DataFrame, test_size: float = 0.15, val_size: float = 0.2, seed: int = 42, key_col: str = KEY,
+                 split_col: str = "split") -> DataFrame:
+    """T1 and T2 at once: 'test', 'val' and 'train', as splitting the training part again with the
+    same seed labels them. The second split's test part is the next slice of the same order, so both cuts
+    are found in the scans of one."""
+    for size in (test_size, val_size):
+        if not 0.0 < size < 1.0:
+            raise InvalidInputError("test_size and val_size must be in (0, 1)")
+
+    def cuts(n: int) -> list[int]:
+        test = math.ceil(n * test_size)
+        return [test, test + math.ceil((n - test) * val_size)]
+    # cuts that coincide (a part without rows) are one cut, so parts are told by their first group
+    n_cuts: list[int] = []
+
+    def kept(n: int) -> list[int]:
+        n_cuts.extend(cuts(n))
+        return n_cuts
+    g = rank_groups(df, kept, key_col, seed, "__g")
+    if len(set(n_cuts)) == 2:
+        names = F.when(F.col("__g") == 0, "test").when(F.col("__g") == 1, "val").otherwise("train")
+    else:
+        names = F.when(F.col("__g") == 0, "test").otherwise("train")
+    return g.withColumn(split_col, names).drop("__g")
+
+
 def fold_sizes(n: int, k: int) -> list[int]:
     """k-fold sizes: the first n % k folds get one extra row."""
     return [n // k + (1 if i < n % k else 0) for i in range(k)]

@@ -17,7 +17,7 @@ from thermocal.operators.checks import row_counts, split_summary
 from thermocal.operators.linfit import categories, fit_multi, fit_single
 from thermocal.operators.metrics import missing_actual_count, regression_metrics
 from thermocal.operators.scaling import fit_scaler, inverse_log10, log10_target, standardize
-from thermocal.operators.split import kfold, train_test_split
+from thermocal.operators.split import kfold, nested_split, train_test_split
 from thermocal.plans import fixtures as fx
 from thermocal.plans.fixtures import with_views
 from thermocal.plans.registry import ORACLE, QUERIES, query, round_half, rounded, sql_round
@@ -373,9 +373,8 @@ def q_split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     "count(*) OVER () AS n2 FROM train)", extra=[RANKED_CTE, SPLIT_CTE, TRAIN_CTE]))
 def q_split_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 % early-stopping part carved out of the training part."""
-    train = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    inner = train_test_split(train, test_size=0.2, seed=42, split_col="inner_split")
-    return inner.select("sample_id", "inner_split")
+    parts = nested_split(fx.readings(spark, sf_dir), test_size=0.15, val_size=0.2, seed=42).where("split <> 'test'")
+    return parts.select("sample_id", F.when(F.col("split") == "val", "test").otherwise("train").alias("inner_split"))
 
 
 _FOLD_SQL = ("CASE WHEN rk <= (n_all % 5) * (n_all // 5 + 1) THEN CAST((rk - 1) // (n_all // 5 + 1) AS INTEGER) "
