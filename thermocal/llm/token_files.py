@@ -37,9 +37,12 @@ from pyspark.sql import functions as F
 from . import elias_fano
 from .common import ship_package
 
-#: Encoders of this worker process: what they remember outlives a task.
 _ENCODERS: dict[tuple, Encoder] = {}
 _NO_ID = -(1 << 63)
+_LATIN = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
+#: No apostrophe (some tokenizers cut at 's), no "<" (special tokens), no other sign above ASCII.
+_PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("[a-zà-öø-ÿß]+|[0-9]|[^0-9a-zà-öø-ÿß]+")
 
 
 def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -49,7 +52,14 @@ def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """UTF-8 text -> ids, remembering the ids of up to ``memory`` pieces, and of as many words in them."""
+    """UTF-8 text -> ids, remembering the ids of up to ``memory`` pieces, and of as many words in them.
+
+    A piece of ASCII and Latin-1 letters, digits and ASCII signs is cut where the tokenizer's own
+    splitting cuts it (letters, single digits, runs of the rest), and the words go to the library's model
+    directly, in lower case and in its byte alphabet; whatever else goes through
+    the whole tokenizer. ``plain`` says whether a probe found both ways equal; if not, all
+    pieces go through the whole tokenizer.
+    """
 
     def __init__(self, path: str, pieces: bool = True, memory: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,10 +67,19 @@ class Encoder:
         self.tokenizer, self.pieces, self.memory = Tokenizer.from_file(path), pieces, memory
         self.known: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.plain = False
+        if pieces:
+            byte = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.tokenizer.pre_tokenizer else None
+            self.alphabet = {ord(c): "".join(p for p, _ in byte(c)) for c in _LATIN} if byte else {}
+            probe = ["Plain", "thh.", "a1b22,", "$%%%x", "ÉTÉ", "años(ñ)", "größe-", "x.y,z", "ÀÿÖØ"]
+            self.plain = [self._model_ids(p) for p in probe] == self._ids(probe)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _model_ids(self, piece: str) -> list[int]:
+        return [t.id for w in _PARTS.findall(piece.lower()) for t in self.tokenizer.model.tokenize(w.translate(self.alphabet))]
+
     def encode(self, text: bytes, dtype) -> bytes:
         if not self.pieces:
             return np.array(self._ids([text.decode()])[0], dtype).tobytes()
@@ -70,23 +89,38 @@ class Encoder:
             if len(self.known) > self.memory:
                 self.known.clear()
                 ids = [None] * len(pieces)
-            self._learn([p for p, i in zip(pieces, ids) if i is None], dtype)
+            self._learn(dict.fromkeys(p for p, i in zip(pieces, ids) if i is None), dtype)
             ids = map(self.known.__getitem__, pieces)
         return b"".join(ids)
 
-    def _learn(self, pieces: list[bytes], dtype) -> None:
-        # "word." and "word," are a run of letters and a run of others to the tokenizer
-        parts = {}
-        for p in dict.fromkeys(pieces):
-            s = p.decode()
-            parts[p] = (s[:-1], s[-1]) if s[-1] in ".," and s[:-1].isalpha() else (s,)
+    def _learn(self, pieces: dict[bytes, None], dtype) -> None:
         if len(self.words) > self.memory:
             self.words.clear()
-        new = [w for w in dict.fromkeys(w for ws in parts.values() for w in ws) if w not in self.words]
-        for w, ids in zip(new, self._ids(new)):
-            self.words[w] = np.array(ids, dtype).tobytes()
-        for p, ws in parts.items():
-            self.known[p] = b"".join([self.words[w] for w in ws])
+        words, other = self.words, []
+        for p in pieces:
+            s = p.decode()
+            if not (self.plain and _PLAIN.fullmatch(s)):
+                other.append((p, s))
+                continue
+            out = []
+            for w in _PARTS.findall(s.lower()):
+                got = words.get(w)
+                if got is None:
+                    got = words[w] = np.array([t.id for t in self.tokenizer.model.tokenize(w.translate(self.alphabet))], dtype).tobytes()
+                out.append(got)
+            self.known[p] = b"".join(out)
+        if other:
+            for (p, _), ids in zip(other, self._ids([s for _, s in other])):
+                self.known[p] = np.array(ids, dtype).tobytes()
+
+
+def encoder_of_worker(path: str, pieces: bool, width: int) -> Encoder:
+    """This worker process's encoder; what it remembers outlives a task. (A module function is
+    pickled by name, so it sees the worker's own table, not a copy.)"""
+    key = path, pieces, width
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, pieces)
+    return _ENCODERS[key]
 
 
 def vocabulary_size(tokenizer_path: str) -> int:
@@ -98,9 +132,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, width: int, pieces: b
     dtype = np.dtype(f"<u{width}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get((tokenizer_path, pieces, width))
-        if encoder is None:
-            encoder = _ENCODERS[tokenizer_path, pieces, width] = Encoder(tokenizer_path, pieces)
+        encoder = encoder_of_worker(tokenizer_path, pieces, width)
         end = np.array([end_id], dtype).tobytes()
         store, base = filesystem(folder)
         store.create_dir(base, recursive=True)
