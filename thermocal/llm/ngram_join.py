@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -50,11 +50,11 @@ from .components import components
 TABLE = 20    #: log2 of the counters that order shingles
 SLICES = 64   #: parts in which counters are summed
 FILTER = 23   #: log2 of the bits of the filter over wanted classes
-MOST = 5      #: longest multi-match prefix
+MOST = 10     #: longest multi-match prefix
 LEADERS = 2   #: rounds of comparisons with leaders before the remaining pairs are formed
 VERIFY = 300  #: cost of verifying a candidate, in postings
 HEAD = 8      #: part of the hash range that is compared first
-PIECE = 4 << 20  #: bytes of texts that are cut into shingles at a time (one longer text makes a piece alone)
+PIECE = 2 << 20  #: bytes of texts that are cut into shingles at a time (one longer text makes a piece alone)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -202,7 +202,7 @@ def _postings(size: int, num: int, den: int, order):
                     key = set_key(u)
                     if key is None or key in seen:
                         continue
-                    if len(seen) > 200_000:
+                    if len(seen) > 50_000:
                         seen.clear()
                     seen.add(key)
                     n = len(u)
@@ -255,7 +255,7 @@ def _sets(size: int, wanted):
                     key = set_key(u)
                     if key is None or key in seen or not bits[_bit(key[0])]:
                         continue
-                    if len(seen) > 200_000:
+                    if len(seen) > 50_000:
                         seen.clear()
                     seen.add(key)
                     keys.append(key)
@@ -326,7 +326,11 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     met = stored(shared.join(lists, "token").join(classes, ["k1", "k2"]).select("token", "c", "n", "pos", "len"), "ngram-met")
     dropped(shared)
     chosen = _chosen(met, num, den)
-    live = stored(met.join(chosen, "c").filter(F.col("pos") < F.col("keep")).select("token", "c", "n", "pos", "l"), "ngram-live")
+    # i: how many met shingles of the class come before; share: of its prefix that any other class has
+    own = Window.partitionBy("c")
+    live = met.join(chosen, "c").filter(F.col("pos") < F.col("keep"))
+    live = live.withColumn("i", F.row_number().over(own.orderBy("pos")) - 1).withColumn("share", F.count("*").over(own) / F.col("keep"))
+    live = stored(live.select("token", "c", "n", "pos", "l", "i", "share"), "ngram-live")
     dropped(met)
 
     wanted = spark.sparkContext.broadcast(_filter_bits(classes, "k1"))
@@ -335,7 +339,7 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     links, group = None, live.withColumn("g", F.col("c"))
     for step in range(LEADERS + 1):
-        pairs = _leader_pairs(group, step, num, den) if step < LEADERS else _remaining_pairs(group, num, den)
+        pairs = _leader_pairs(group, step, num, den) if step < LEADERS else _remaining_pairs(group, num, den).distinct()
         found = _verified(pairs, heads, sets, classes, num, den)
         links = stored(found if links is None else found.union(links), "ngram-links")
         joined = components(links, "x", "y")
@@ -367,19 +371,27 @@ def _chosen(met: DataFrame, num: int, den: int) -> DataFrame:
     return by_class.select("c", best["l"].alias("l"), (F.col("base") + best["l"]).alias("keep"))
 
 
-def _fits(n: str, m: str, num: int, den: int):
-    """Sizes that allow the similarity."""
-    return (F.least(n, m) * den) >= (F.greatest(n, m) * num)
+def _may_link(x: str, y: str, num: int, den: int):
+    """May this shared shingle be the pair's l-th, l being the smaller of the two? Then just l - 1 shared ones come
+    before it, so each class has met that many before; whatever else comes before it is not shared, and what is
+    left of either set must do for the similarity."""
+    col = lambda side, name: F.col(f"{side}.{name}")
+    before = F.least(col(x, "l"), col(y, "l")) - 1
+    room = F.least(col(x, "n") - col(x, "pos"), col(y, "n") - col(y, "pos")) + before
+    return ((F.least(col(x, "n"), col(y, "n")) * den >= F.greatest(col(x, "n"), col(y, "n")) * num)
+            & (F.least(col(x, "i"), col(y, "i")) >= before)
+            & (room * (den + num) >= (col(x, "n") + col(y, "n")) * num))
 
 
 def _leader_pairs(group: DataFrame, step: int, num: int, den: int) -> DataFrame:
-    """For each class at most one pair: with the leader that leads most of its lists, if it meets
-    it as often as it must. A list's leader is its class of least hash, so near copies share
-    one; the next step hashes anew. (What is missed here, the remaining pairs hold.)"""
-    lead = group.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("y"), F.col("n").alias("m"), "l", "g"), F.xxhash64("c", F.lit(step))).alias("lead"))
-    met = (group.join(lead, "token").filter((F.col("g") != F.col("lead.g")) & _fits("n", "lead.m", num, den))
-           .groupBy(F.col("c").alias("x"), F.col("lead.y").alias("y")).agg(F.count("*").alias("k"), F.min(F.least("l", "lead.l")).alias("l")))
-    return met.filter("k >= l").groupBy("x").agg(F.max_by("y", F.struct("k", "y")).alias("y"))
+    """For each class at most one pair: with the leader that leads most of its lists. A list's leader is
+    first its class with the fewest shingles of its own (the text that the others are copies of), then its class
+    of least hash, so near copies share one. (What is missed here, the remaining pairs hold.)"""
+    score = F.col("share") if step == 0 else F.lit(0.0)
+    lead = group.groupBy("token").agg(F.max_by(F.struct("c", "n", "pos", "l", "i", "g"), F.struct(score, F.xxhash64("c", F.lit(step)))).alias("y"))
+    met = (group.alias("x").join(lead, "token").filter((F.col("x.g") != F.col("y.g")) & _may_link("x", "y", num, den))
+           .groupBy(F.col("x.c").alias("x"), F.col("y.c").alias("y")).agg(F.count("*").alias("k")))
+    return met.groupBy("x").agg(F.max_by("y", F.struct("k", "y")).alias("y"))
 
 
 def _still_open(group: DataFrame) -> DataFrame:
@@ -390,11 +402,6 @@ def _still_open(group: DataFrame) -> DataFrame:
 
 def _remaining_pairs(group: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes in different components that match as often as they must."""
-    a = group.select("token", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("l").alias("lx"), F.col("g").alias("gx"))
-    b = group.select("token", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("l").alias("ly"), F.col("g").alias("gy"))
-    met = (a.join(b, "token").filter((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _fits("nx", "ny", num, den))
-           .groupBy("x", "y").agg(F.count("*").alias("k"), F.min(F.least("lx", "ly")).alias("l"), F.max("nx").alias("nx"),
-                                  F.max("ny").alias("ny"), F.min("px").alias("px"), F.min("py").alias("py")))
-    # nothing before the first match is shared, so this is the most that can be
-    room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
-    return met.filter((F.col("k") >= F.col("l")) & (room * (num + den) >= (F.col("nx") + F.col("ny")) * num)).select("x", "y")
+    return (group.alias("x").join(group.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))
+                                  & (F.col("x.g") != F.col("y.g")) & _may_link("x", "y", num, den))
+            .select(F.col("x.c").alias("x"), F.col("y.c").alias("y")))
