@@ -332,6 +332,13 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     live = live.withColumn("i", F.row_number().over(own.orderBy("pos")) - 1).withColumn("share", F.count("*").over(own) / F.col("keep"))
     live = stored(live.select("token", "c", "n", "pos", "l", "i", "share"), "ngram-live")
     dropped(met)
+    # Postings that can be the l-th of a pair with any class of their list, where two such meet.
+    able = live.join(live.groupBy("token").agg(F.min("l").alias("least")), "token").filter(F.col("i") >= F.least("l", "least") - 1)
+    able = able.join(able.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token", "left_semi").drop("least")
+    able = stored(able, "ngram-able")
+    dropped(live)
+    live = able
+    classes = stored(classes.join(live.select("c").distinct(), "c", "left_semi"), "ngram-candidates")
 
     wanted = spark.sparkContext.broadcast(_filter_bits(classes, "k1"))
     sets = stored(texts.select("t").mapInArrow(_sets(size, wanted), "k1 bigint, k2 bigint, n int, head binary, set binary"), "ngram-sets")
