@@ -87,9 +87,11 @@ def _members(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, dep
     """(leaf, line, member) for the distinct lines of mixed leaves: does the line fit the leaf's template?"""
     mixed = (shared.filter("mixed").groupBy("leaf", "line", *DOC).agg(F.lit(1).alias("one"))
              .groupBy("leaf", "line").agg(F.count("*").alias("docs")))
-    texts = lines(docs, id_col, text_col, depth, min_tokens).select("leaf", "line", "tokens")
+    # lines travel as one string each: an array of short strings takes twice the room
+    texts = lines(docs, id_col, text_col, depth, min_tokens).select("leaf", "line", F.array_join("tokens", " ").alias("masked"))
     texts = texts.join(mixed.select("leaf").distinct(), "leaf", "left_semi").dropDuplicates(["leaf", "line"])
-    distinct = stored(texts.join(mixed.select("leaf", "line", "docs"), ["leaf", "line"]), "lines-distinct")
+    distinct = stored(texts.join(mixed.select("leaf", "line", "docs"), ["leaf", "line"])
+                      .select("leaf", "line", "docs", F.split("masked", " ", -1).alias("tokens")), "lines-distinct")
     tokens = distinct.select("leaf", "docs", F.posexplode("tokens").alias("k", "token"))
     top = (tokens.groupBy("leaf", "k", "token").agg(F.sum("docs").alias("docs"))
            .groupBy("leaf", "k").agg(F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("all")))
