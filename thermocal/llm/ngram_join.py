@@ -288,7 +288,7 @@ def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: Data
 
     likely = stored(joined(pairs.select("x", "y"), heads, "head"), "ngram-likely")
     bits = heads.sparkSession.sparkContext.broadcast(_filter_bits(
-        likely.select(F.explode(F.array("x", "y")).alias("c")).distinct().join(classes, "c").select("k1"), "k1"))
+        likely.select(F.col("x").alias("c")).distinct().union(likely.select("y").distinct()).join(classes, "c").select("k1"), "k1"))
 
     def among(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for k in it:
