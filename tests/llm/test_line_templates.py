@@ -92,3 +92,16 @@ def test_edge_rows(spark, make_docs, prose):
     rows = edge_rows(long_text) + [(20, long_text.split("\n")[77]), (21, "one two three four five\r\none two three four five")]
     assert plain(drop_recurring(make_docs(rows))) == sorted(brute(rows), key=str)
     assert drop_recurring(make_docs([])).collect() == []
+
+
+def test_short_lines_of_many_documents(spark, make_docs, prose, tmp_path):
+    from thermocal.llm.queries import op10_line_templates
+
+    rows = [(i, "\n".join([prose(9), "All rights  reserved.", "", "Les.", f"page {i}", f"only {'abcdefghij'[i]}"])) for i in range(10)]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op10_line_templates(spark, str(tmp_path)).collect()}
+    assert [got[i]["n_dropped"] for i in range(10)] == [0] + [3] * 9
+    kept = {r["doc_id"]: r["lines"]["text"].split("\n") for r in drop_recurring(make_docs(rows), min_tokens=1).collect()}
+    assert kept[0] == rows[0][1].split("\n")
+    assert all(kept[i] == [rows[i][1].split("\n")[k] for k in (0, 2, 5)] for i in range(1, 10))
+    assert all(n == 0 for _, _, n, _ in plain(drop_recurring(make_docs([(1, "\n \n"), (2, "\n \n")]), min_tokens=0)))

@@ -7,8 +7,9 @@ most frequent token has less than half of the leaf is a variable field. Lines th
 most frequent tokens in at least ``similar`` of their positions belong to that template;
 every other line is a template of its own, its digits variable. A template that occurs in
 ``min_docs`` documents or more recurs: its first line (least document id, then position)
-stays and all others are dropped. Lines of fewer than ``min_tokens`` tokens are too
-short to tell and stay.
+stays and all others are dropped. A line of ``depth`` tokens or fewer is its leaf, so its exact
+recurrence (digits variable) decides. Lines of fewer than ``min_tokens`` tokens and blank lines stay
+unexamined; ``min_tokens=1``, as in the query, examines every line that is not blank.
 
 Only hashes and positions move, and the tokens of distinct lines of leaves that hold
 different lines of several documents. Counts are map-side partial aggregates, so a line
@@ -33,13 +34,13 @@ DOC = ["id", "h"]
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """(id, h, pos, tokens, leaf, line) of every line with enough tokens; h stands for the text."""
+    """(id, h, pos, tokens, leaf, line) of every line with enough tokens that is not blank; h stands for the text."""
     text = F.col(f"`{text_col}`")
     cut = docs.filter(text.isNotNull()).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"),
                                                F.posexplode(F.split(text, "\n", -1)).alias("pos", "raw"))
     masked = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace("raw", _DIGITS, "<*>")).otherwise(F.col("raw"))
     tokens = F.split(F.btrim(masked, F.lit(_ENDS)), BLANKS, -1)
-    return (cut.select("id", "h", "pos", tokens.alias("tokens")).filter(F.size("tokens") >= min_tokens)
+    return (cut.select("id", "h", "pos", tokens.alias("tokens")).filter((F.size("tokens") >= min_tokens) & (F.get("tokens", F.lit(0)) != ""))
             .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)))
             .withColumn("line", F.xxhash64("tokens")))
 

@@ -105,7 +105,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = line_templates.drop_recurring(read(spark, sf_dir, "documents"))
+    got = line_templates.drop_recurring(read(spark, sf_dir, "documents"), min_tokens=1)
     d = F.col("lines")
     return got.select("doc_id", d["n_lines"].alias("n_lines"), d["n_dropped"].alias("n_dropped"),
                       F.sha2(d["text"], 256).alias("kept_sha256"))
