@@ -105,3 +105,18 @@ def test_short_lines_of_many_documents(spark, make_docs, prose, tmp_path):
     assert kept[0] == rows[0][1].split("\n")
     assert all(kept[i] == [rows[i][1].split("\n")[k] for k in (0, 2, 5)] for i in range(1, 10))
     assert all(n == 0 for _, _, n, _ in plain(drop_recurring(make_docs([(1, "\n \n"), (2, "\n \n")]), min_tokens=0)))
+
+
+def test_every_template_of_a_leaf(spark, make_docs):
+    names = [a + b for a in ("ann", "bob", "cy", "di") for b in ("", "a", "e", "o", "u")]
+    start = "user account was closed "
+    two = [start + f"because of payment by {n}" for n in names] + [start + f"after review from team {n}" for n in names[:6]]
+    three = [f"one two three four {x} {x}x {x}y {x}z {n}" for x in ("p", "q", "r") for n in names]
+    alone = [start + " ".join(f"{a}{k}" for k in "vwxyz") for a in ("mm", "nn")]  # of the first leaf, like nothing
+    rows = list(enumerate(two + three + alone))
+    got = {i: n for i, _, n, _ in plain(drop_recurring(make_docs(rows)))}
+    stay = {0, 20, 26, 46, 66, 86, 87}
+    assert got == {i: int(i not in stay) for i, _ in rows}
+    # six of eight tokens alike, but two of the four after the leading ones
+    rows = [(i, f"{start}same here {x}v {x}w") for i, x in enumerate("abcdef")]
+    assert all(n == 0 for _, _, n, _ in plain(drop_recurring(make_docs(rows))))
