@@ -10,9 +10,10 @@ n shingles of either, so the first ``n - ceil(t * n) + l`` shingles of both have
 
 * Each class posts its longest prefix; shingles that only one class posts fall away.
 * From the exact lengths of the remaining lists each class picks its own ``l`` (up to
-  ``MOST``): a longer prefix costs more postings, but a pair then needs more matches before
-  it is verified, the smaller ``l`` of its two classes. Prefixes are nested, so pairs of
-  classes with different ``l`` meet that often at least.
+  ``MOST``): a pair of classes with different ``l`` shares the smaller ``l`` at least, as
+  prefixes are nested. These matches are not counted: a pair is verified if it meets at one shingle that
+  can be its l-th, with ``l - 1`` met shingles before it on either side. This is necessary, not
+  sufficient: more pairs are verified than share ``l``, and none that does is missed.
 * Verification is exact, in two steps: the shingles whose hash falls into the lowest ``1 / HEAD`` of
   the range differ by no more than the whole sets may, which most pairs fail on an
   eighth of the bytes; the others intersect their full sets.
@@ -408,7 +409,7 @@ def _still_open(group: DataFrame) -> DataFrame:
 
 
 def _remaining_pairs(group: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes in different components that match as often as they must."""
+    """Pairs of classes in different components that meet at a shingle that can be their l-th."""
     return (group.alias("x").join(group.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))
                                   & (F.col("x.g") != F.col("y.g")) & _may_link("x", "y", num, den))
             .select(F.col("x.c").alias("x"), F.col("y.c").alias("y")))
