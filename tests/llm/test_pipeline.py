@@ -85,3 +85,12 @@ def test_empty_documents(spark, tables, tmp_path):
     empty = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, path).collect() == [], name
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, None), (2, 1, 7)], [(i, 1, 1) for i in range(40)]])
+def test_labels_that_teach_nothing_drop_no_document(spark, tables, tmp_path, labels):
+    path, rows, *_ = tables
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.count() == len(rows)
