@@ -110,3 +110,52 @@ SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesc
        CAST(coalesce(n_owned, 0) AS BIGINT) AS n_owned, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live
 FROM d LEFT JOIN per USING (doc_id)
 """
+
+# crc32 by its table, which a list of 256 makes; prefixes are lists of turns.
+ORACLE["op12_conversation_trie"] = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+                      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+seqs AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s
+         FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT c, s, CAST(xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+            lambda a, b: xor(a >> 8, tab[CAST(xor(a, b) & 255 AS BIGINT) + 1])), 4294967295) % 4 AS BIGINT) AS h FROM seqs, crc),
+reb AS (SELECT a.c, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s FROM heads a LEFT JOIN seqs b ON b.c = a.c - a.c % 20),
+pref AS (SELECT c, d, s[1:d] AS p, len(s) = d AS here FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM reb)),
+node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE here) AS ends,
+                CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(p[d].x, '[^\x20\x09-\x0D]+')) END AS words FROM pref GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+own AS (SELECT node.*, coalesce(n_children, 0) AS n_children, (n - 1) * words AS saved FROM node LEFT JOIN kids USING (p)),
+sums AS (SELECT p, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves
+         FROM (SELECT o.p[1:o.a] AS p, saved, n_children FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) o) GROUP BY p)
+SELECT own.conv_id, CAST(own.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(own.n AS BIGINT) AS n_convs,
+       CAST(own.n_children AS BIGINT) AS n_children, n_leaves, saved_tokens, sha256(coalesce(own.ends, '')) AS ends_sha256
+FROM own JOIN sums USING (p) LEFT JOIN own up ON own.d > 0 AND up.p = own.p[1:own.d - 1]
+"""
+
+
+def _vector_codes(entries: int = 256, parts: int = 4, rounds: int = 4) -> str:
+    """Every round restated: all distances as dot products of whole numbers (exact in doubles), then floors of means."""
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, [floor(1024 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0)""",
+             f"""q AS MATERIALIZED (SELECT r, p, x, list_dot_product(x, x) AS sq FROM (
+      SELECT r, p, x[p * (len(x) // {parts}) + 1:(p + 1) * (len(x) // {parts})] AS x FROM v, range({parts}) t(p)))""",
+             f"""b0 AS MATERIALIZED (SELECT p, k, x, sq FROM q JOIN (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS k FROM v) USING (r)
+      WHERE k < {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT r, p, best % {entries} AS k, best // {entries} AS d FROM (
+      SELECT q.r, q.p, min(CAST(q.sq + b.sq - 2 * list_dot_product(q.x, b.x) AS BIGINT) * {entries} + b.k) AS best
+      FROM q JOIN b{n} b USING (p) GROUP BY q.r, q.p))""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (SELECT p, k, list((s - ((s % c) + c) % c) // c ORDER BY i) AS x FROM (
+      SELECT p, k, i, count(*) AS c, sum(CAST(e AS BIGINT)) AS s FROM (
+        SELECT p, k, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM a{n} JOIN q USING (r, p)) GROUP BY p, k, i) GROUP BY p, k)""")
+            steps.append(f"""b{n + 1} AS MATERIALIZED (SELECT p, k, x, list_dot_product(x, x) AS sq FROM (
+      SELECT b.p, b.k, coalesce(CAST(s.x AS DOUBLE[]), b.x) AS x FROM b{n} b LEFT JOIN s{n} s ON b.p = s.p AND b.k = s.k))""")
+    steps.append(f"""coded AS (SELECT r, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)""")
+    steps.append(f"""book AS (SELECT sha256(string_agg(array_to_string([CAST(CAST(c AS BIGINT) AS VARCHAR) FOR c IN x], ','), ',' ORDER BY p, k)) AS h FROM b{rounds})""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN coded USING (r), book"""
+
+
+ORACLE["op13_vector_codes"] = _vector_codes()

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
-from . import (histogram_sort, language_id, line_templates, mixing, ngram_join, secret_scan, token_files, toxicity,
-               vector_join)
+from . import (byte_bpe, conversation_trie, histogram_sort, language_id, line_templates, mixing, ngram_join, secret_scan,
+               token_files, toxicity, vector_codes, vector_join)
 from .common import read, scratch
 from .oracles import ORACLE
 
@@ -109,3 +109,27 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("lines")
     return got.select("doc_id", d["n_lines"].alias("n_lines"), d["n_dropped"].alias("n_dropped"),
                       F.sha2(d["text"], 256).alias("kept_sha256"))
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    codec = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    got = read(spark, sf_dir, "documents").select("doc_id", codec.encode("text").alias("ids"))
+    got = got.select("doc_id", "ids", codec.decode("ids").alias("decoded"))
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = conversation_trie.with_shared_heads(conversation_trie.sequences(read(spark, sf_dir, "conversations")))
+    return conversation_trie.trie(rebuilt)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vector_codes.encode(read(spark, sf_dir, "embeddings"))
+    return got.rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(got.codebooks_sha256()).alias("codebooks_sha256"))
