@@ -30,7 +30,13 @@ def vocabulary():
 
 
 def ids(vocabulary, text):
-    return np.frombuffer(vocabulary.encode(text), np.int32).tolist()
+    got, starts = vocabulary.encode(["filler text", text, None])
+    assert len(starts) == 4 and starts[0] == 0 and starts[2] == starts[3] == len(got)
+    return got[starts[1]:].tolist()
+
+
+def back(vocabulary, ids):
+    return vocabulary.decode(np.array(ids, np.int32))[0].tobytes()
 
 
 @settings(max_examples=200, deadline=None)
@@ -38,7 +44,15 @@ def ids(vocabulary, text):
 def test_ids_are_the_librarys(vocabulary, library, text):
     got = ids(vocabulary, text)
     assert got == library.encode_ordinary(text)
-    assert vocabulary.decode(got) == text.encode()
+    assert back(vocabulary, got) == text.encode()
+
+
+@settings(max_examples=100, deadline=None)
+@given(pieces=st.lists(st.binary(min_size=1, max_size=40) | st.text(alphabet="aab ", min_size=1, max_size=60).map(str.encode), min_size=1, max_size=30))
+def test_one_queue_for_many_pre_tokens(vocabulary, library, pieces):
+    flat, starts = vocabulary.merge_all(pieces)
+    for p, a, b in zip(pieces, starts, starts[1:]):
+        assert flat[a:b].tolist() == vocabulary.merge(p) == library._core_bpe.encode_single_piece(p)
 
 
 def test_every_character_is_cut_alike(vocabulary, library):
@@ -93,6 +107,9 @@ def test_null_ids_and_empty_table(spark, make_docs):
     rows = spark.createDataFrame([([],), (None,)], "ids array<int>").select(codec.decode("ids").alias("b")).collect()
     assert [r["b"] for r in rows] == [b"", None]
     assert encode_documents(make_docs([]), PATH, P.PATTERN).collect() == []
+    for bad in ([50_256], [-1], [None]):
+        with pytest.raises(Exception, match="an id is"):
+            spark.createDataFrame([(bad,)], "ids array<int>").select(codec.decode("ids")).collect()
 
 
 def test_query_against_the_library(spark, sf_small, library):

@@ -2,22 +2,27 @@
 
 A text is cut by the vocabulary's pattern into pre-tokens; each is merged by itself, always the
 adjacent pair of lowest rank and, of equal ones, the leftmost. The pairs that could be merged wait
-in one bucket for each rank, as positions in a linked list of the pre-token's symbols; a bitmap over the
+in one bucket for each rank, as positions in a linked list of symbols; a bitmap over the
 buckets, with a bitmap over its words above it and another above that, gives the lowest rank by three
 find-first-set steps, whatever the length of the pre-token. A merge changes the pairs on either side; what
 waits for the old ones is *stale* and is skipped when it comes up (the position's present rank is
 another). A pair's bytes only grow, so a position never returns to a rank it has left. A pre-token of n bytes takes
 O(n) queue operations, so a very long one (base64, a run of spaces) costs no more for each byte than a short one.
 
+A long pre-token has a queue for itself. The short ones that a batch of texts brings for the first time share one
+queue: their symbols are one linked list with gaps between pre-tokens, a bucket holds the positions of all of them,
+and a step of numpy merges the leftmost position of each pre-token that waits at the lowest rank. Pre-tokens
+do not touch, so each still sees its own pairs in order of rank and place.
+
 The rank file is read on the driver and broadcast (its size is the vocabulary's). Each Python worker builds its pair
-table once, and remembers the ids of up to ``memory`` pre-tokens; a text longer than
-``LONG`` characters is cut in runs of matches, so that no list of all its matches is held.
+table once, and remembers the ids of up to ``MEMORY`` pre-tokens (``MEMORY_BYTES`` of them). A text longer than ``LONG``
+characters is cut in runs of matches, so that no list of all its matches is held.
 
 The pattern's character classes are those of the tiktoken library where it is installed (its
 regular-expression engine and Python's know different Unicode versions), asked for once on the driver.
 
-Defined results: null texts and empty texts have no ids (``decode`` gives empty bytes); unpaired ids (not in the
-vocabulary) raise in ``decode``; the ids of null are null in ``decode``. Every row is independent of all others,
+Defined results: null texts and empty texts have no ids; ``decode`` gives empty bytes for no ids and null for null, and raises for
+ids that are null or not in the vocabulary. Every row is independent of all others,
 so repeated rows and ties do not matter, and an empty table gives an empty table. Columns of the input keep their
 names; ``out`` must be a new one.
 """
@@ -25,6 +30,7 @@ names; ``out`` must be a new one.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import islice
@@ -38,10 +44,12 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import ship_package
 
-LONG = 1 << 20       #: characters from which on a text's matches are taken in runs
-RUN = 1 << 16        #: matches in a run
-MEMORY = 400_000     #: pre-tokens that a worker remembers
-REMEMBERED = 64      #: bytes of the longest pre-token that is remembered
+LONG = 1 << 20           #: characters from which on a text's matches are taken in runs
+RUN = 1 << 16            #: matches in a run
+MEMORY = 400_000         #: pre-tokens that a worker remembers
+MEMORY_BYTES = 32 << 20  #: and their bytes
+ALONE = 64               #: bytes from which on a pre-token has a queue for itself
+SLICE = 1 << 20          #: ids that are gathered at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,58 +61,127 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class RankQueue:
-    """Positions by rank: lowest rank first, of one rank the lowest position first."""
+class RankBits:
+    """A set of ranks with a fast least member: a bitmap, one over its words, and one over theirs."""
 
     def __init__(self, ranks: int):
         words = (ranks >> 6) + 1
-        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
         self.low, self.mid, self.top = [0] * words, [0] * ((words >> 6) + 1), 0
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket:
-            heappush(bucket, position)
-            return
-        bucket.append(position)
+    def add(self, rank: int) -> None:
         w = rank >> 6
         v = w >> 6
         self.low[w] |= 1 << (rank & 63)
         self.mid[v] |= 1 << (w & 63)
         self.top |= 1 << v
 
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position), or None if nothing waits."""
+    def least(self) -> int:
+        """The least member; -1 if there is none."""
         top = self.top
         if not top:
-            return None
+            return -1
         v = (top & -top).bit_length() - 1
         bits = self.mid[v]
         w = (v << 6) + (bits & -bits).bit_length() - 1
         bits = self.low[w]
-        first = bits & -bits
-        rank = (w << 6) + first.bit_length() - 1
+        return (w << 6) + (bits & -bits).bit_length() - 1
+
+    def remove(self, rank: int) -> None:
+        w = rank >> 6
+        self.low[w] ^= 1 << (rank & 63)
+        if not self.low[w]:
+            v = w >> 6
+            self.mid[v] ^= 1 << (w & 63)
+            if not self.mid[v]:
+                self.top ^= 1 << v
+
+
+class RankQueue:
+    """Positions by rank: lowest rank first, of one rank the lowest position first."""
+
+    def __init__(self, ranks: int):
+        self.bits, self.buckets = RankBits(ranks), {}
+
+    def push(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket:
+            heappush(bucket, position)
+        else:
+            self.buckets[rank] = [position]
+            self.bits.add(rank)
+
+    def pop(self) -> tuple[int, int] | None:
+        """(rank, position), or None if nothing waits."""
+        rank = self.bits.least()
+        if rank < 0:
+            return None
         bucket = self.buckets[rank]
         position = heappop(bucket)
         if not bucket:
-            self.low[w] = bits = bits ^ first
-            if not bits:
-                self.mid[v] ^= 1 << (w & 63)
-                if not self.mid[v]:
-                    self.top ^= 1 << v
+            del self.buckets[rank]
+            self.bits.remove(rank)
         return rank, position
 
 
+class SharedQueue:
+    """Positions of many pre-tokens by rank, in arrays: a bucket comes out whole."""
+
+    def __init__(self, ranks: int):
+        self.bits, self.buckets = RankBits(ranks), {}
+
+    def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        ranks, positions = ranks[order], positions[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+        for rank, a, b in zip(ranks[cuts[:-1]].tolist(), cuts[:-1], cuts[1:]):
+            self.push_at(rank, positions[a:b])
+
+    def push_at(self, rank: int, positions: np.ndarray) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket is None:
+            self.buckets[rank] = [positions]
+            self.bits.add(rank)
+        else:
+            bucket.append(positions)
+
+    def pop(self) -> tuple[int, np.ndarray] | None:
+        """(lowest rank, all that wait there, ascending), or None."""
+        rank = self.bits.least()
+        if rank < 0:
+            return None
+        self.bits.remove(rank)
+        arrays = self.buckets.pop(rank)
+        return rank, (np.sort(np.concatenate(arrays)) if len(arrays) > 1 else arrays[0])
+
+
+class _Numbers(dict):
+    """Numbers for keys, from 0 as they come."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> Iterator[np.ndarray]:
+    """The pieces ``flat[starts[w]:starts[w + 1]]`` of all w, one behind the other, in bounded arrays."""
+    for at in np.split(which, range(SLICE, len(which), SLICE)):
+        lens = starts[at + 1] - starts[at]
+        ends = np.cumsum(lens)
+        yield flat[np.arange(ends[-1] if len(at) else 0) + np.repeat(starts[at] - ends + lens, lens)]
+
+
 class Vocabulary:
-    """Ranks, the table of mergeable pairs and the queue of one worker."""
+    """Ranks, the table of mergeable pairs and what one worker remembers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, odd: str = "", classes: dict[str, str] | None = None, memory: int = MEMORY):
         import regex
         self.ranks, self.memory = ranks, memory
         self.size = max(ranks.values()) + 1
-        self.bytes_of: list[bytes | None] = [None] * self.size
+        tokens: list[bytes] = [b""] * self.size
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+            tokens[rank] = token
+        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.token_starts = np.cumsum([0] + [len(t) for t in tokens])
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
@@ -114,21 +191,26 @@ class Vocabulary:
                     b = ranks.get(token[k:])
                     if b is not None:
                         self.pairs[a * self.size + b] = rank
-        self.queue = RankQueue(self.size)
-        self.known: dict[str, bytes] = {}
+        keys = np.array(list(self.pairs), np.int64)
+        order = np.argsort(keys)
+        self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.array(list(self.pairs.values()), np.int64)[order], -1)
         self.pattern = regex.compile(pattern)
         # texts that hold characters on which the engines differ are cut by a pattern with the classes spelt out
         self.odd = regex.compile(f"[{odd}]") if odd else None
         self.spelt = regex.compile(_spelt(pattern, classes or {})) if odd else self.pattern
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number, self.flat, self.starts = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
+        """The ids of one pre-token, by a queue of its own."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size, pairs, queue = self.size, self.pairs, self.queue
+        size, pairs, queue, single = self.size, self.pairs, RankQueue(self.size), self.single
         n = len(piece)
-        single = self.single
         ids = [single[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [-1] * n                      # the rank at which each position's pair waits
@@ -160,38 +242,121 @@ class Vocabulary:
                     queue.push(r, h)
         return [t for t in ids if t >= 0]
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        known, out = self.known, []
-        for p in pieces:
-            got = known.get(p)
-            if got is None:
-                utf8 = p.encode()
-                got = np.array(self.merge(utf8), np.int32).tobytes()
-                if len(utf8) <= REMEMBERED:
-                    if len(known) >= self.memory:
-                        known.clear()
-                    known[p] = got
-            out.append(got)
-        return out
-
-    def _ids_of(self, pieces: list[str]) -> bytes:
+    def _pair_ranks(self, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
+        """Ranks of pairs; -1: cannot be merged."""
+        key = a * self.size + b
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pre-tokens one behind the other, where each begins and the end), by one shared queue."""
+        lens = np.array([len(p) for p in pieces], np.int64)
+        starts = np.concatenate([[0], np.cumsum(lens)])
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ids = np.array(self.single, np.int64)[data]
+        of = np.repeat(np.arange(len(pieces)), lens)
+        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        after[starts[1:] - 1], before[starts[:-1]] = -1, -1
+        # a pre-token that is a token is one, whether or not merges lead there
+        whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int64)
+        waiting = np.full(len(ids), -1)
+        first = np.flatnonzero((after >= 0) & (whole < 0)[of])
+        waiting[first] = self._pair_ranks(ids[first], ids[first + 1])
+        first = first[waiting[first] >= 0]
+        queue = SharedQueue(self.size)
+        if len(first):
+            queue.push(waiting[first], first)
+        while got := queue.pop():
+            rank, at = got
+            at = at[waiting[at] == rank]        # the others are stale
+            if len(at) > 1:
+                lead = of[at]
+                lead = np.concatenate([[True], lead[1:] != lead[:-1]])
+                if not lead.all():              # a pre-token's next one waits: a merge may bring a lower rank first
+                    queue.push_at(rank, at[~lead])
+                    at = at[lead]
+            if not len(at):
+                continue
+            gone, h = after[at], before[at]
+            k = after[gone]
+            ids[at], ids[gone], waiting[gone], after[at] = rank, -1, -1, k
+            right, left = k >= 0, h >= 0
+            stay, h = at[right], h[left]
+            before[k[right]] = stay
+            waiting[at] = -1
+            places = np.concatenate([stay, h])
+            ranks = self._pair_ranks(np.concatenate([ids[stay], ids[h]]), np.concatenate([ids[k[right]], ids[at[left]]]))
+            waiting[places] = ranks
+            some = ranks >= 0
+            if some.any():
+                queue.push(ranks[some], places[some])
+        heads = starts[:-1]
+        single = whole >= 0
+        ids[np.flatnonzero(single[of])] = -1
+        ids[heads[single]] = whole[single]
+        kept = ids >= 0
+        return ids[kept].astype(np.int32), np.concatenate([[0], np.cumsum(np.add.reduceat(kept, heads, dtype=np.int64))])
+
+    def _learn(self) -> None:
+        """Merges the pre-tokens that have a number and no ids yet."""
+        new = [p.encode() for p in islice(self.number, len(self.starts) - 1, None)]
+        if not new:
+            return
+        short = [p for p in new if len(p) < ALONE]
+        flat, starts = self.merge_all(short) if short else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+        if len(short) < len(new):
+            k, parts = 0, []
+            for p in new:
+                if len(p) < ALONE:
+                    parts.append(flat[starts[k]:starts[k + 1]])
+                    k += 1
+                else:
+                    parts.append(np.array(self.merge(p), np.int32))
+            flat, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        self.flat, self.starts = np.concatenate([self.flat, flat]), np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+
+    def _is_odd(self, text: str) -> bool:
+        """Does it hold a character on which the engines differ? (None is in Latin-1, which is quicker to see.)"""
+        if self.odd is None:
+            return False
         try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            return b"".join(self._learn(pieces))
-
-    def encode(self, text: str) -> bytes:
-        """The text's ids, four bytes each."""
-        pattern = self.spelt if self.odd is not None and not text.isascii() and self.odd.search(text) else self.pattern
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.odd.search(text) is not None
+        return False
+
+    def _numbers(self, text: str) -> np.ndarray:
+        pattern = self.spelt if self._is_odd(text) else self.pattern
+        number, out = self.number.__getitem__, array("i")
         if len(text) <= LONG:
-            return self._ids_of(pattern.findall(text))
-        matches, runs = pattern.finditer(text), []
-        while run := [m.group() for m in islice(matches, RUN)]:
-            runs.append(self._ids_of(run))
-        return b"".join(runs)
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+            out.extend(map(number, pattern.findall(text)))
+        else:
+            matches = pattern.finditer(text)
+            while run := [m.group() for m in islice(matches, RUN)]:
+                out.extend(map(number, run))
+        return np.frombuffer(out, np.int32) if out else np.zeros(0, np.int32)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, where each begins and the end)."""
+        pieces = [self._numbers(t) if t else np.zeros(0, np.int32) for t in texts]
+        self._learn()
+        which = np.concatenate([np.zeros(0, np.int32), *pieces])
+        ids = np.concatenate([np.zeros(0, np.int32), *_gathered(self.flat, self.starts, which)])
+        lens = np.concatenate([[0], np.cumsum((self.starts[1:] - self.starts[:-1])[which])])
+        starts = lens[np.cumsum([0] + [len(p) for p in pieces])]
+        if len(self.number) > self.memory or 4 * len(self.flat) > MEMORY_BYTES:
+            self._forget()
+        return ids, starts
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the ids one behind the other, the place of each id's first byte and the end)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= self.size):
+            raise ValueError("an id is not in the vocabulary")
+        lens = (self.token_starts[1:] - self.token_starts[:-1])[ids]
+        if not lens.all():
+            raise ValueError("an id is not in the vocabulary")
+        return (np.concatenate([np.zeros(0, np.uint8), *_gathered(self.token_bytes, self.token_starts, ids)]),
+                np.concatenate([[0], np.cumsum(lens)]))
 
 
 def _spelt(pattern: str, classes: dict[str, str]) -> str:
@@ -240,6 +405,8 @@ def engine_classes(ranks: dict[bytes, int], names: tuple[str, ...] = (r"\p{L}",
         members = theirs.decode(theirs.encode_ordinary(every))
         odd |= set(members) ^ set(regex.findall(name, every))
         classes[name] = _ranges([ord(c) for c in members])
+    if any(c < "\u0100" for c in odd):
+        raise RuntimeError("the engines differ on Latin-1")
     return (_ranges(sorted(map(ord, odd))), classes) if odd else ("", {})
 
 
@@ -270,19 +437,20 @@ class ByteBPE:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary = vocabulary_of_worker(shared, memory)
             for texts in batches:
-                parts = [vocabulary.encode(t) if t else b"" for t in texts.to_pylist()]
-                ends = np.concatenate([[0], np.cumsum([len(p) >> 2 for p in parts], dtype=np.int64)])
-                values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-                yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+                ids, starts = vocabulary.encode(texts.to_pylist())
+                yield pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
 
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary = vocabulary_of_worker(shared, memory)
             for ids in batches:
-                lens = pc.list_value_length(ids)
-                flat = ids.flatten().to_numpy(zero_copy_only=False)
-                ends = np.concatenate([[0], np.cumsum(pc.fill_null(lens, 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
-                yield pa.array([None if gone else vocabulary.decode(flat[a:b].tolist())
-                                for a, b, gone in zip(ends[:-1], ends[1:], ids.is_null().to_pylist())], pa.binary())
+                flat = ids.flatten()
+                if flat.null_count:
+                    raise ValueError("an id is null")
+                data, places = vocabulary.decode(flat.to_numpy(zero_copy_only=False))
+                lens = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                ends = places[np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])]
+                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+                yield pc.if_else(ids.is_null(), pa.scalar(None, pa.large_binary()), binary).cast(pa.binary())
 
         self._encode, self._decode = arrow_udf(encode, "array<int>"), arrow_udf(decode, "binary")
 
