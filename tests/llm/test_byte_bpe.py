@@ -36,7 +36,9 @@ def ids(vocabulary, text):
 
 
 def back(vocabulary, ids):
-    return vocabulary.decode(np.array(ids, np.int32))[0].tobytes()
+    data, ends = vocabulary.decode(np.array(ids, np.int32), np.array([0, 0, len(ids)]))
+    assert ends.tolist() == [0, 0, len(data)]
+    return data.tobytes()
 
 
 @settings(max_examples=200, deadline=None)
@@ -92,16 +94,32 @@ def test_queue_gives_the_least_rank_then_the_leftmost(steps):
 
 
 def test_documents(spark, make_docs, prose, library):
-    docs = make_docs(edge_rows(prose(20_000)), ["i", "h", "decoded"])
-    got = encode_documents(docs, PATH, P.PATTERN)
+    docs = make_docs(edge_rows(prose(20_000)) + [(70 + k, prose(300) + "x" * 90 * k) for k in range(9)], ["i", "h", "decoded"])
+    got = encode_documents(docs, PATH, P.PATTERN, decoded="bytes")
     got = got.withColumn("back", ByteBPE(spark, PATH, P.PATTERN).decode("ids")).collect()
     assert len(got) == docs.count() and got[0]["decoded"] == "x"
     for r in got:
-        assert r["ids"] == library.encode_ordinary(r["text"] or "") and bytes(r["back"]) == (r["text"] or "").encode()
+        assert r["ids"] == library.encode_ordinary(r["text"] or "") and bytes(r["back"]) == bytes(r["bytes"]) == (r["text"] or "").encode()
     with pytest.raises(ValueError):
         encode_documents(docs, PATH, P.PATTERN, out="h")
 
 
+def test_groups_and_learning_order(library, monkeypatch):
+    from thermocal.llm import byte_bpe
+    monkeypatch.setattr(byte_bpe, "GROUP", 7)
+    monkeypatch.setattr(byte_bpe, "SYMBOLS", 90)
+    ranks = read_ranks(PATH)
+    v = Vocabulary(ranks, P.PATTERN, *engine_classes(ranks), memory=30)
+    rng = random.Random(6)
+    for _ in range(20):
+        texts = [rng.choice([None, "", " ".join("".join(rng.choice("abcé1") for _ in range(rng.choice([1, 5, 200]))) for _ in range(rng.randrange(12)))])
+                 for _ in range(15)]
+        got, starts = v.encode(texts)
+        assert [got[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library.encode_ordinary(t or "") for t in texts]
+        data, ends = v.decode(got, starts)
+        assert [data[a:b].tobytes() for a, b in zip(ends, ends[1:])] == [(t or "").encode() for t in texts]
+
+
 def test_null_ids_and_empty_table(spark, make_docs):
     codec = ByteBPE(spark, PATH, P.PATTERN)
     rows = spark.createDataFrame([([],), (None,)], "ids array<int>").select(codec.decode("ids").alias("b")).collect()

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from .common import ship_package
@@ -49,7 +49,8 @@ RUN = 1 << 16            #: matches in a run
 MEMORY = 400_000         #: pre-tokens that a worker remembers
 MEMORY_BYTES = 32 << 20  #: and their bytes
 ALONE = 64               #: bytes from which on a pre-token has a queue for itself
-SLICE = 1 << 20          #: ids that are gathered at a time
+SYMBOLS = 1 << 21        #: bytes of the pre-tokens that share a queue
+GROUP = 1 << 19          #: pre-tokens of the texts whose ids are gathered at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -162,12 +163,24 @@ class _Numbers(dict):
         return n
 
 
-def _gathered(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> Iterator[np.ndarray]:
-    """The pieces ``flat[starts[w]:starts[w + 1]]`` of all w, one behind the other, in bounded arrays."""
-    for at in np.split(which, range(SLICE, len(which), SLICE)):
+def _gathered(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``flat[starts[w]:starts[w + 1]]`` of all w one behind the other, and where each ends."""
+    parts, all_ends, before = [np.zeros(0, flat.dtype)], [np.zeros(1, np.int64)], 0
+    for k in range(0, len(which), GROUP):
+        at = which[k:k + GROUP]
         lens = starts[at + 1] - starts[at]
         ends = np.cumsum(lens)
-        yield flat[np.arange(ends[-1] if len(at) else 0) + np.repeat(starts[at] - ends + lens, lens)]
+        parts.append(flat[np.arange(ends[-1]) + np.repeat(starts[at] - ends + lens, lens)])
+        all_ends.append(ends + before)
+        before += ends[-1]
+    return np.concatenate(parts), np.concatenate(all_ends)
+
+
+def _groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbours whose sizes make about ``most`` together (a larger one is a group alone)."""
+    part = (np.cumsum(sizes) - sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
 class Vocabulary:
@@ -244,7 +257,7 @@ class Vocabulary:
 
     def _pair_ranks(self, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
         """Ranks of pairs; -1: cannot be merged."""
-        key = a * self.size + b
+        key = np.asarray(a, np.int64) * self.size + b
         at = np.searchsorted(self.pair_keys, key)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
 
@@ -252,15 +265,14 @@ class Vocabulary:
         """(ids of all pre-tokens one behind the other, where each begins and the end), by one shared queue."""
         lens = np.array([len(p) for p in pieces], np.int64)
         starts = np.concatenate([[0], np.cumsum(lens)])
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        ids = np.array(self.single, np.int64)[data]
-        of = np.repeat(np.arange(len(pieces)), lens)
-        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        ids = np.array(self.single, np.int32)[np.frombuffer(b"".join(pieces), np.uint8)]
+        of = np.repeat(np.arange(len(pieces), dtype=np.int32), lens)
+        after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
         after[starts[1:] - 1], before[starts[:-1]] = -1, -1
         # a pre-token that is a token is one, whether or not merges lead there
-        whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int64)
-        waiting = np.full(len(ids), -1)
-        first = np.flatnonzero((after >= 0) & (whole < 0)[of])
+        whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int32)
+        waiting = np.full(len(ids), -1, np.int32)
+        first = np.flatnonzero((after >= 0) & (whole < 0)[of]).astype(np.int32)
         waiting[first] = self._pair_ranks(ids[first], ids[first + 1])
         first = first[waiting[first] >= 0]
         queue = SharedQueue(self.size)
@@ -295,25 +307,30 @@ class Vocabulary:
         ids[np.flatnonzero(single[of])] = -1
         ids[heads[single]] = whole[single]
         kept = ids >= 0
-        return ids[kept].astype(np.int32), np.concatenate([[0], np.cumsum(np.add.reduceat(kept, heads, dtype=np.int64))])
+        return ids[kept], np.concatenate([[0], np.cumsum(np.add.reduceat(kept, heads, dtype=np.int64))])
 
     def _learn(self) -> None:
         """Merges the pre-tokens that have a number and no ids yet."""
         new = [p.encode() for p in islice(self.number, len(self.starts) - 1, None)]
         if not new:
             return
-        short = [p for p in new if len(p) < ALONE]
-        flat, starts = self.merge_all(short) if short else (np.zeros(0, np.int32), np.zeros(1, np.int64))
-        if len(short) < len(new):
-            k, parts = 0, []
-            for p in new:
+        parts, lens = [self.flat], []
+        for a, b in _groups(np.array([len(p) for p in new]), SYMBOLS):
+            short = [p for p in new[a:b] if len(p) < ALONE]
+            flat, starts = self.merge_all(short) if short else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+            k = 0
+            for p in new[a:b] if len(short) < b - a else ():
                 if len(p) < ALONE:
-                    parts.append(flat[starts[k]:starts[k + 1]])
                     k += 1
-                else:
-                    parts.append(np.array(self.merge(p), np.int32))
-            flat, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-        self.flat, self.starts = np.concatenate([self.flat, flat]), np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+                else:  # between those before and after it
+                    own = np.array(self.merge(p), np.int32)
+                    flat = np.concatenate([flat[:starts[k]], own, flat[starts[k]:]])
+                    starts = np.concatenate([starts[:k + 1], starts[k:] + len(own)])
+                    k += 1
+            parts.append(flat)
+            lens.append(np.diff(starts))
+        self.flat = np.concatenate(parts)
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lens))])
 
     def _is_odd(self, text: str) -> bool:
         """Does it hold a character on which the engines differ? (None is in Latin-1, which is quicker to see.)"""
@@ -336,27 +353,35 @@ class Vocabulary:
                 out.extend(map(number, run))
         return np.frombuffer(out, np.int32) if out else np.zeros(0, np.int32)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one behind the other, where each begins and the end)."""
+    def encode_groups(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, end, ids of these texts one behind the other, where each begins and the end), a bounded group at a time."""
         pieces = [self._numbers(t) if t else np.zeros(0, np.int32) for t in texts]
         self._learn()
-        which = np.concatenate([np.zeros(0, np.int32), *pieces])
-        ids = np.concatenate([np.zeros(0, np.int32), *_gathered(self.flat, self.starts, which)])
-        lens = np.concatenate([[0], np.cumsum((self.starts[1:] - self.starts[:-1])[which])])
-        starts = lens[np.cumsum([0] + [len(p) for p in pieces])]
+        counts = np.array([len(p) for p in pieces], np.int64)
+        for a, b in _groups(counts, GROUP):
+            ids, ends = _gathered(self.flat, self.starts, np.concatenate(pieces[a:b]))
+            yield a, b, ids, ends[np.concatenate([[0], np.cumsum(counts[a:b])])]
         if len(self.number) > self.memory or 4 * len(self.flat) > MEMORY_BYTES:
             self._forget()
-        return ids, starts
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes of the ids one behind the other, the place of each id's first byte and the end)."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= self.size):
-            raise ValueError("an id is not in the vocabulary")
-        lens = (self.token_starts[1:] - self.token_starts[:-1])[ids]
-        if not lens.all():
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, where each begins and the end)."""
+        parts, starts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for _, _, ids, s in self.encode_groups(texts):
+            parts.append(ids)
+            starts.append(starts[-1][-1] + s[1:])
+        return np.concatenate(parts), np.concatenate(starts)
+
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the ids of all rows, where each row begins and the end)."""
+        parts, ends = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+        if len(ids) and (ids.min() < 0 or ids.max() >= self.size or not np.diff(self.token_starts)[ids].all()):
             raise ValueError("an id is not in the vocabulary")
-        return (np.concatenate([np.zeros(0, np.uint8), *_gathered(self.token_bytes, self.token_starts, ids)]),
-                np.concatenate([[0], np.cumsum(lens)]))
+        for a, b in _groups(np.diff(starts), GROUP):
+            data, at = _gathered(self.token_bytes, self.token_starts, ids[starts[a]:starts[b]])
+            parts.append(data)
+            ends.append(ends[-1][-1] + at[starts[a + 1:b + 1] - starts[a]])
+        return np.concatenate(parts), np.concatenate(ends)
 
 
 def _spelt(pattern: str, classes: dict[str, str]) -> str:
@@ -446,12 +471,11 @@ class ByteBPE:
                 flat = ids.flatten()
                 if flat.null_count:
                     raise ValueError("an id is null")
-                data, places = vocabulary.decode(flat.to_numpy(zero_copy_only=False))
                 lens = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-                ends = places[np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])]
-                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
-                yield pc.if_else(ids.is_null(), pa.scalar(None, pa.large_binary()), binary).cast(pa.binary())
+                got = _binary(*vocabulary.decode(flat.to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])))
+                yield pc.if_else(ids.is_null(), pa.scalar(None, pa.binary()), got)
 
+        self._shared, self._memory = shared, memory
         self._encode, self._decode = arrow_udf(encode, "array<int>"), arrow_udf(decode, "binary")
 
     def encode(self, text: Column | str) -> Column:
@@ -463,8 +487,29 @@ class ByteBPE:
         return self._decode(ids)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with a column ``out``: the ids of each whole text."""
-    if out in docs.columns:
-        raise ValueError(f"column '{out}' exists")
-    return docs.withColumn(out, ByteBPE(docs.sparkSession, path, pattern).encode(F.col(f"`{text_col}`")))
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", out: str = "ids",
+                     decoded: str | None = None) -> DataFrame:
+    """``docs`` with a column ``out``, the ids of each whole text, and with the bytes that these decode to if ``decoded`` names a column.
+
+    Rows leave a task in groups of texts, so it holds the ids of a group, not of an Arrow batch of texts.
+    """
+    for name in filter(None, (out, decoded)):
+        if name in docs.columns:
+            raise ValueError(f"column '{name}' exists")
+    codec = ByteBPE(docs.sparkSession, path, pattern)
+    shared, memory, back = codec._shared, codec._memory, decoded is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = vocabulary_of_worker(shared, memory)
+        for batch in batches:
+            for a, b, ids, starts in vocabulary.encode_groups(batch.column(text_col).to_pylist()):
+                more = [pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))]
+                if back:
+                    more.append(_binary(*vocabulary.decode(ids, starts)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *more], names=[*batch.schema.names, out, *([decoded] if back else [])])
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.BinaryType())] if back else [])])
+    return docs.mapInArrow(run, schema)

@@ -115,9 +115,8 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    codec = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    got = read(spark, sf_dir, "documents").select("doc_id", codec.encode("text").alias("ids"))
-    got = got.select("doc_id", "ids", codec.decode("ids").alias("decoded"))
+    got = byte_bpe.encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                    public_tokenizers.PATTERN, decoded="decoded")
     return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
