@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from thermocal.plans.registry import ORACLE
 from tools.oracle_check import canon, duck
 
 SF = "/root/testdata/sf0.001"
-ORACLE = E.oracle_sql()
+E.queries()  # fills the library's registry
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_query_matches_duckdb(spark, con, name):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):

@@ -3,6 +3,9 @@
 import pytest
 
 import __spark_entry__ as E
+from thermocal.plans.registry import ORACLE
+
+E.queries()  # fills the library's registry
 
 SF = "/root/testdata/sf0.001"
 ROW_WISE = ["read_project", "array_input", "poly_score_d1", "poly_score_d2", "poly_expand_d2", "poly_csv_view",
@@ -16,7 +19,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_checked_queries_stay_in_the_jvm(spark, name):
     plan = _plan(spark, name)
     assert not any(node in plan for node in PYTHON_NODES), plan

@@ -3,10 +3,12 @@ prediction column (F2), and score rows with missing features (P6)."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermocal.functions.poly import poly_powers, poly_predict, poly_predict_sql
+from thermocal.operators.ensemble import NODES, TreeEnsemble, load_ensemble, save_ensemble, score_columns
 from thermocal.operators.metrics import check_metrics_nonempty, regression_metrics
 from thermocal.operators.split import train_test_split
 from thermocal.plans import fixtures as fx
@@ -65,3 +67,22 @@ def q_score_missing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.readings(spark, sf_dir)
     hole = r.withColumn(FEATURES[0], F.when(F.col("room_temperature") <= 25.0, F.col(f"`{FEATURES[0]}`")))
     return rounded(_scored(hole))
+
+
+_NODE_ROWS = ", ".join(str(r) for r in fx.SMALL_ENSEMBLE)
+_ENSEMBLE_SQL = with_views(f"""SELECT sample_id, {sql_round(f"{fx.SMALL_ENSEMBLE_BASE}e0 + {fx.SMALL_ENSEMBLE_SCALE}e0 * s")} AS predicted FROM (
+  SELECT sample_id, sum(value) AS s FROM walk JOIN nodes USING (tree, node) WHERE feature < 0 GROUP BY sample_id)""", extra=[
+    f"""nodes AS (SELECT * FROM (VALUES {_NODE_ROWS}) t(tree, node, feature, threshold, "left", "right", value))""",
+    "x AS (SELECT sample_id, [" + ", ".join(FEATURES) + "] AS x FROM readings)",
+    """walk AS (SELECT sample_id, x, tree, 0 AS node FROM x, (SELECT DISTINCT tree FROM nodes) UNION ALL
+    SELECT sample_id, x, walk.tree, CASE WHEN x[feature + 1] <= threshold THEN "left" ELSE "right" END FROM walk JOIN nodes USING (tree, node)
+    WHERE feature >= 0)"""]).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("ensemble_saved_score", _ENSEMBLE_SQL)
+def q_ensemble_saved_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S4 + M4 / M6 / M8: a tree ensemble saved, loaded and walked by an expression."""
+    nodes = pd.DataFrame(fx.SMALL_ENSEMBLE, columns=[c.split()[0] for c in NODES.split(", ")])
+    model = TreeEnsemble(tuple(FEATURES), fx.SMALL_ENSEMBLE_BASE, fx.SMALL_ENSEMBLE_SCALE, nodes)
+    path = save_ensemble(spark, model, scratch_path(spark, "ensemble"))
+    return rounded(score_columns(fx.readings(spark, sf_dir), load_ensemble(spark, path), "predicted").select("sample_id", "predicted"))

@@ -109,3 +109,15 @@ def with_views(sql: str, *views: str, extra: tuple[str, ...] | list[str] = ()) -
     parts = [f"{n} AS ({ctes[n]})" for n in names] + [e.strip() for e in extra]
     body = ",\n".join(parts)
     return f"WITH {body}\n{sql}"
+
+
+# A small saved ensemble of three trees over (Right_final, Left_final, Difference, room_temperature), as fixed values:
+# (tree, node, feature, threshold, left, right, value); a feature of -1 is a leaf.
+SMALL_ENSEMBLE_BASE, SMALL_ENSEMBLE_SCALE = 10.5, 0.25
+SMALL_ENSEMBLE = [
+    (0, 0, 3, 25.5, 1, 2, 0.0), (0, 1, 0, 0.01, 3, 4, -1.0), (0, 2, 1, 0.125, 5, 6, 1.0), (0, 3, -1, 0.0, -1, -1, -3.25), (0, 4, 2, 0.05, 7, 8, -0.5),
+    (0, 5, -1, 0.0, -1, -1, 1.75), (0, 6, -1, 0.0, -1, -1, 4.5), (0, 7, -1, 0.0, -1, -1, -0.875), (0, 8, -1, 0.0, -1, -1, 0.375),
+    (1, 0, 2, 0.03, 1, 2, 0.0), (1, 1, -1, 0.0, -1, -1, -1.5), (1, 2, 3, 30.0, 3, 4, 0.5), (1, 3, -1, 0.0, -1, -1, 0.25), (1, 4, 0, 0.2, 5, 6, 1.5),
+    (1, 5, -1, 0.0, -1, -1, 2.0), (1, 6, -1, 0.0, -1, -1, 3.0),
+    (2, 0, -1, 0.0, -1, -1, 0.125),
+]
