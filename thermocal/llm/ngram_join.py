@@ -11,9 +11,9 @@ n shingles of either, so the first ``n - ceil(t * n) + l`` shingles of both have
 * Each class posts its longest prefix; shingles that only one class posts fall away.
 * From the exact lengths of the remaining lists each class picks its own ``l`` (up to
   ``MOST``): a pair of classes with different ``l`` shares the smaller ``l`` at least, as
-  prefixes are nested. These matches are not counted: a pair is verified if it meets at one shingle that
-  can be its l-th, with ``l - 1`` met shingles before it on either side. This is necessary, not
-  sufficient: more pairs are verified than share ``l``, and none that does is missed.
+  prefixes are nested. A pair is formed where it meets at a shingle that can be its l-th, with ``l - 1`` met
+  shingles before it on either side (so most postings form none), and it goes on only if its two prefixes
+  share ``l`` shingles, counted on the prefixes themselves.
 * Verification is exact, in two steps: the shingles whose hash falls into the lowest ``1 / HEAD`` of
   the range differ by no more than the whole sets may, which most pairs fail on an
   eighth of the bytes; the others intersect their full sets.
@@ -280,22 +280,52 @@ def _linked(num: int, den: int):
     return arrow_udf(run, "boolean")
 
 
+def _matches():
+    """Do two prefixes share as many shingles as the smaller of their l asks for?"""
+    def run(xs: pa.Array, ys: pa.Array, lx: pa.Array, ly: pa.Array) -> pa.Array:
+        need = np.minimum(lx.to_numpy(zero_copy_only=False), ly.to_numpy(zero_copy_only=False))
+        (a, ends_a), (b, ends_b) = ((c.flatten().to_numpy(zero_copy_only=False), np.cumsum(c.value_lengths().to_numpy(zero_copy_only=False)))
+                                    for c in (xs, ys))
+        out, i, j = np.zeros(len(need), bool), 0, 0
+        for k, (m, n, l) in enumerate(zip(ends_a.tolist(), ends_b.tolist(), need.tolist())):
+            out[k] = len(np.intersect1d(a[i:m], b[j:n], assume_unique=True)) >= l
+            i, j = m, n
+        return pa.array(out)
+    return arrow_udf(run, "boolean")
+
+
+def _matched(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (x, y) that share as many prefix shingles as they must."""
+    side = lambda c: prefixes.select(F.col("c").alias(c), F.col("l").alias(f"l{c}"), F.col("tokens").alias(f"t{c}"))
+    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
+    return both.filter(_matches()("tx", "ty", "lx", "ly")).select("x", "y")
+
+
 def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar enough."""
-    def joined(p: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        a = table.select(F.col("c").alias("x"), F.col(column).alias("sx"), F.col("n").alias("nx"))
-        b = table.select(F.col("c").alias("y"), F.col(column).alias("sy"), F.col("n").alias("ny"))
+    def joined(p: DataFrame, xs: DataFrame, ys: DataFrame, column: str) -> DataFrame:
+        a = xs.select(F.col("c").alias("x"), F.col(column).alias("sx"), F.col("n").alias("nx"))
+        b = ys.select(F.col("c").alias("y"), F.col(column).alias("sy"), F.col("n").alias("ny"))
         return p.join(a, "x").join(b, "y").filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y")
 
-    likely = stored(joined(pairs.select("x", "y"), heads, "head"), "ngram-likely")
-    bits = heads.sparkSession.sparkContext.broadcast(_filter_bits(
-        likely.select(F.col("x").alias("c")).distinct().union(likely.select("y").distinct()).join(classes, "c").select("k1"), "k1"))
-
-    def among(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    likely = stored(joined(pairs.select("x", "y"), heads, heads, "head"), "ngram-likely")
+    sides, filters = [], []
+    for side in ("x", "y"):  # a side's join moves the sets of that side alone
+        wanted = heads.sparkSession.sparkContext.broadcast(_filter_bits(
+            likely.select(F.col(side).alias("c")).distinct().join(classes, "c").select("k1"), "k1"))
+        filters.append(wanted)
+        sides.append(sets.filter(_among(wanted)("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"]))
+    links = stored(joined(likely, *sides, "set"), "ngram-found")
+    for wanted in filters:
+        wanted.destroy()
+    return links
+
+
+def _among(wanted):
+    def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for k in it:
-            yield pa.array(bits.value[_bit(k.to_numpy(zero_copy_only=False))])
-    few = sets.filter(arrow_udf(among, "boolean")("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"])
-    return joined(likely, few, "set")
+            yield pa.array(wanted.value[_bit(k.to_numpy(zero_copy_only=False))])
+    return arrow_udf(run, "boolean")
 
 
 def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -332,22 +362,27 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     live = met.join(chosen, "c").filter(F.col("pos") < F.col("keep"))
     live = live.withColumn("i", F.row_number().over(own.orderBy("pos")) - 1).withColumn("share", F.count("*").over(own) / F.col("keep"))
     live = stored(live.select("token", "c", "n", "pos", "l", "i", "share"), "ngram-live")
+    prefixes = live.groupBy("c").agg(F.first("l").alias("l"), F.collect_list("token").alias("tokens"))
     dropped(met)
     # Postings that can be the l-th of a pair with any class of their list, where two such meet.
     able = live.join(live.groupBy("token").agg(F.min("l").alias("least")), "token").filter(F.col("i") >= F.least("l", "least") - 1)
     able = able.join(able.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token", "left_semi").drop("least")
     able = stored(able, "ngram-able")
+    classes = stored(classes.join(able.select("c").distinct(), "c", "left_semi"), "ngram-candidates")
+    prefixes = stored(prefixes.join(classes.select("c"), "c", "left_semi"), "ngram-prefixes")
     dropped(live)
     live = able
-    classes = stored(classes.join(live.select("c").distinct(), "c", "left_semi"), "ngram-candidates")
 
+    order.destroy()
     wanted = spark.sparkContext.broadcast(_filter_bits(classes, "k1"))
     sets = stored(texts.select("t").mapInArrow(_sets(size, wanted), "k1 bigint, k2 bigint, n int, head binary, set binary"), "ngram-sets")
+    wanted.destroy()
     heads = stored(sets.select("k1", "k2", "n", "head").join(classes, ["k1", "k2"]).dropDuplicates(["c"]).select("c", "n", "head"), "ngram-heads")
 
     links, group = None, live.withColumn("g", F.col("c"))
     for step in range(LEADERS + 1):
         pairs = _leader_pairs(group, step, num, den) if step < LEADERS else _remaining_pairs(group, num, den).distinct()
+        pairs = stored(_matched(pairs, prefixes), "ngram-matched")
         found = _verified(pairs, heads, sets, classes, num, den)
         links = stored(found if links is None else found.union(links), "ngram-links")
         joined = components(links, "x", "y")

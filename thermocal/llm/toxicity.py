@@ -48,6 +48,7 @@ IDENTITY = [
 ]
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
+SLICE = 1 << 20  #: elements of the training table that are looked at together
 _SET_OF = {w: s for s in IDENTITY for w in s}
 
 
@@ -75,7 +76,7 @@ def swapped(words: set[str], step: int) -> set[str]:
 
 @dataclass
 class Model:
-    weights: np.ndarray
+    weights: dict[int, float]   # by hashed feature, without zeros
     bias: float
     bits: int
 
@@ -90,9 +91,9 @@ class Model:
                 if slots is None:
                     if len(known) >= 500_000:
                         known.clear()
-                    slots = known[w] = tuple(s for s in slots_of(w, self.bits) if self.weights[s])
+                    slots = known[w] = tuple(s for s in slots_of(w, self.bits) if s in self.weights)
                 found.update(slots)
-            out[k] += sum(float(self.weights[s]) for s in sorted(found))
+            out[k] += sum(self.weights[s] for s in sorted(found))
         return out
 
 
@@ -116,21 +117,21 @@ def train(rows: np.ndarray, cols: np.ndarray, ys: np.ndarray, src: np.ndarray, s
     """Full-batch Adam on the three terms. (rows, cols): hashed words of the texts; (srows, scols):
     those of swapped texts, ``src`` naming the text that each comes from."""
     n, share = len(ys), float(np.mean(ys)) if len(ys) else 0.5
-    weights = np.zeros(1 << bits, np.float32)
     if n == 0 or share in (0.0, 1.0):
         p = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(weights, float(np.log(p / (1 - p))), bits)
+        return Model({}, float(np.log(p / (1 - p))), bits)
     # Rarer features, and those that part the classes no better than chance, would only be learnt by heart.
-    seen = np.bincount(cols, minlength=1 << bits)
-    toxic = np.bincount(cols, ys[rows], 1 << bits)
+    seen, toxic = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+    for a in range(0, len(cols), SLICE):
+        c = cols[a:a + SLICE]
+        np.add.at(seen, c, 1)
+        np.add.at(toxic, c, ys[rows[a:a + SLICE]].astype(np.int32))
     used = np.flatnonzero(seen >= min_docs)
     k = seen[used]
     z = (toxic[used] - k * share) / np.sqrt(k * share * (1 - share) * np.maximum(1 - k / n, 1 / n))
-    used = used[np.abs(z) >= min_z]
-    place = np.full(1 << bits, -1, np.int32)
-    place[used] = np.arange(len(used))
-    keep, skeep = place[cols] >= 0, place[scols] >= 0
-    rows, cols, srows, scols = rows[keep], place[cols[keep]], srows[skeep], place[scols[skeep]]
+    del seen, toxic
+    used = used[np.abs(z) >= min_z].astype(np.int32)
+    (rows, cols), (srows, scols) = _of_used(rows, cols, used), _of_used(srows, scols, used)
     w, b, size = np.zeros(len(used)), float(np.log(share / (1 - share))), len(used)
     cost = np.where(ys == 1, positive_weight, 1.0)
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
@@ -149,14 +150,24 @@ def train(rows: np.ndarray, cols: np.ndarray, ys: np.ndarray, src: np.ndarray, s
         fix1, fix2 = 1 - 0.9 ** t, 1 - 0.999 ** t
         w = w - rate * (m / fix1) / (np.sqrt(v / fix2) + 1e-8)
         b -= rate * (mb / fix1) / (np.sqrt(vb / fix2) + 1e-8)
-    weights[used] = w
-    return Model(weights, b, bits)
+    return Model({int(s): float(x) for s, x in zip(used, w.astype(np.float32)) if x}, b, bits)
+
+
+def _of_used(rows: np.ndarray, cols: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The elements whose feature is used, with its place among these."""
+    parts = [(rows[:0], cols[:0])]
+    for a in range(0, len(cols) if len(used) else 0, SLICE):
+        c = cols[a:a + SLICE]
+        at = np.minimum(np.searchsorted(used, c), len(used) - 1).astype(np.int32)
+        keep = used[at] == c
+        parts.append((rows[a:a + SLICE][keep], at[keep]))
+    return np.concatenate([r for r, _ in parts]), np.concatenate([c for _, c in parts])
 
 
 def _spans(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row of each element, elements) of a list array."""
     lens = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.repeat(np.arange(len(lists)), lens), lists.flatten()
+    return np.repeat(np.arange(len(lists), dtype=np.int32), lens), lists.flatten()
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
