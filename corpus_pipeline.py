@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; null and empty texts score by the bias, and stay. All stay if the
     labels teach nothing about words (no rows, or one class): every text would score the same."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    if not model.weights.any():
+    if not model.weights:
         return docs
     return toxicity.score(docs, model, out="__toxicity").filter("__toxicity < 0.5").drop("__toxicity")
 
