@@ -16,7 +16,7 @@ n shingles of either, so the first ``n - ceil(t * n) + l`` shingles of both have
   share ``l`` shingles, counted on the prefixes themselves.
 * Verification is exact, in two steps: the shingles whose hash falls into the lowest ``1 / HEAD`` of
   the range differ by no more than the whole sets may, which most pairs fail on an
-  eighth of the bytes; the others intersect their full sets.
+  eighth of the bytes; the others intersect their full sets, tile by tile.
 
 Only connectivity is asked for, so a list's classes are first compared with one leader
 (the same for a class in most of its lists), and verified links make components. Pairs
@@ -55,6 +55,7 @@ MOST = 10     #: longest multi-match prefix
 LEADERS = 2   #: rounds of comparisons with leaders before the remaining pairs are formed
 VERIFY = 300  #: cost of verifying a candidate, in postings
 HEAD = 8      #: part of the hash range that is compared first
+TILE = 4 << 20  #: bytes of sets on one side of a tile of pairs
 PIECE = 2 << 20  #: bytes of texts that are cut into shingles at a time (one longer text makes a piece alone)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -267,16 +268,18 @@ def _sets(size: int, wanted):
     return run
 
 
+def _similar(a: np.ndarray, b: np.ndarray, n: int, num: int, den: int) -> bool:
+    """May sets of n elements together be similar enough, as these (heads of them, or whole) differ?"""
+    apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
+    # den * both >= num * either, where both = (n - apart) / 2
+    return (den - num) * n >= (den + num) * apart
+
+
 def _linked(num: int, den: int):
-    """Are two sets similar enough, or, given heads and sizes, may they be?"""
+    """Given heads and sizes, may two sets be similar enough?"""
     def run(xs: pa.Array, ys: pa.Array, nx: pa.Array, ny: pa.Array) -> pa.Array:
-        out = []
-        for x, y, n, m in zip(xs, ys, nx.to_pylist(), ny.to_pylist()):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
-            # den * both >= num * either, where both = (n + m - apart) / 2
-            out.append((den - num) * (n + m) >= (den + num) * apart)
-        return pa.array(out, pa.bool_())
+        return pa.array([_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), n + m, num, den)
+                         for x, y, n, m in zip(xs, ys, nx.to_pylist(), ny.to_pylist())], pa.bool_())
     return arrow_udf(run, "boolean")
 
 
@@ -303,24 +306,49 @@ def _matched(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar enough."""
-    def joined(p: DataFrame, xs: DataFrame, ys: DataFrame, column: str) -> DataFrame:
-        a = xs.select(F.col("c").alias("x"), F.col(column).alias("sx"), F.col("n").alias("nx"))
-        b = ys.select(F.col("c").alias("y"), F.col(column).alias("sy"), F.col("n").alias("ny"))
-        return p.join(a, "x").join(b, "y").filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y")
-
-    likely = stored(joined(pairs.select("x", "y"), heads, heads, "head"), "ngram-likely")
-    sides, filters = [], []
-    for side in ("x", "y"):  # a side's join moves the sets of that side alone
-        wanted = heads.sparkSession.sparkContext.broadcast(_filter_bits(
-            likely.select(F.col(side).alias("c")).distinct().join(classes, "c").select("k1"), "k1"))
-        filters.append(wanted)
-        sides.append(sets.filter(_among(wanted)("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"]))
-    links = stored(joined(likely, *sides, "set"), "ngram-found")
-    for wanted in filters:
-        wanted.destroy()
+    def side(c: str) -> DataFrame:
+        return heads.select(F.col("c").alias(c), F.col("head").alias(f"s{c}"), F.col("n").alias(f"n{c}"))
+    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
+    likely = stored(both.filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y"), "ngram-likely")
+    ends = likely.select(F.col("x").alias("c")).union(likely.select("y")).distinct()
+    wanted = heads.sparkSession.sparkContext.broadcast(_filter_bits(ends.join(classes, "c").select("k1"), "k1"))
+    tiles = stored(_tiles(likely, heads), "ngram-tiles")
+    places = tiles.select("r", "p", "q", F.col("x").alias("c")).union(tiles.select("r", "p", "q", "y")).distinct().toDF("tr", "tp", "tq", "c")
+    few = sets.filter(_among(wanted)("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"])
+    dealt = few.join(places, "c").groupBy("tr", "tp", "tq")
+    links = stored(tiles.groupBy("r", "p", "q").cogroup(dealt).applyInArrow(_tile_links(num, den), "x bigint, y bigint"), "ngram-found")
+    wanted.destroy()
     return links
 
 
+def _tiles(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(r, p, q, x, y): pairs dealt to tiles of about ``TILE`` bytes of sets on either side, so that a set travels once for a tile and not
+    once for a pair. The classes that pairs connect (r) are cut by a hash into as many strips as their sets' bytes ask for, and a
+    pair's tile is its two strips; a set goes to tiles only in which it has a pair."""
+    roots = components(pairs, "x", "y")
+    members = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    sizes = members.join(heads.select(F.col("c").alias("node"), "n"), "node").groupBy("root").agg(F.sum(F.lit(8) * F.col("n")).alias("bytes"))
+    strips = members.join(sizes.select("root", F.ceil(F.col("bytes") / TILE).cast("int").alias("strips")), "root")
+    dealt = pairs.join(strips.withColumnRenamed("node", "x"), "x")
+    strip = lambda c: F.pmod(F.xxhash64(c), F.col("strips")).cast("int")
+    return dealt.select(F.col("root").alias("r"), strip("x").alias("p"), strip("y").alias("q"), "x", "y")
+
+
+def _tile_links(num: int, den: int):
+    def run(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        place = {c: k for k, c in enumerate(rows["c"].to_pylist())}
+        sets = rows["set"].chunk(0) if len(rows) else None
+        xs, ys = [], []
+        for x, y in zip(pairs["x"].to_pylist(), pairs["y"].to_pylist()):
+            a, b = (np.frombuffer(sets[place[c]].as_buffer(), np.uint64) for c in (x, y))
+            if _similar(a, b, len(a) + len(b), num, den):
+                xs.append(x)
+                ys.append(y)
+        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+    return run
+
+
 def _among(wanted):
     def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for k in it:
