@@ -55,7 +55,8 @@ MOST = 10     #: longest multi-match prefix
 LEADERS = 2   #: rounds of comparisons with leaders before the remaining pairs are formed
 VERIFY = 300  #: cost of verifying a candidate, in postings
 HEAD = 8      #: part of the hash range that is compared first
-TILE = 4 << 20  #: bytes of sets on one side of a tile of pairs
+TILE = 4 << 20  #: bytes of sets on one side of a tile of pairs, about
+STRIP = 64      #: and classes
 PIECE = 2 << 20  #: bytes of texts that are cut into shingles at a time (one longer text makes a piece alone)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -322,13 +323,14 @@ def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: Data
 
 
 def _tiles(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """(r, p, q, x, y): pairs dealt to tiles of about ``TILE`` bytes of sets on either side, so that a set travels once for a tile and not
-    once for a pair. The classes that pairs connect (r) are cut by a hash into as many strips as their sets' bytes ask for, and a
+    """(r, p, q, x, y): pairs dealt to tiles of about ``STRIP`` classes and ``TILE`` bytes of sets at most on either side, so that a set travels once for a tile and not
+    once for a pair. The classes that pairs connect (r) are cut by a hash into as many strips as their number and their sets' bytes ask for, and a
     pair's tile is its two strips; a set goes to tiles only in which it has a pair."""
     roots = components(pairs, "x", "y")
     members = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-    sizes = members.join(heads.select(F.col("c").alias("node"), "n"), "node").groupBy("root").agg(F.sum(F.lit(8) * F.col("n")).alias("bytes"))
-    strips = members.join(sizes.select("root", F.ceil(F.col("bytes") / TILE).cast("int").alias("strips")), "root")
+    sizes = members.join(heads.select(F.col("c").alias("node"), "n"), "node").groupBy("root").agg(
+        F.ceil(F.sum(F.lit(8) * F.col("n")) / TILE).alias("by_bytes"), F.ceil(F.count("*") / STRIP).alias("by_count"))
+    strips = members.join(sizes.select("root", F.greatest("by_bytes", "by_count").cast("int").alias("strips")), "root")
     dealt = pairs.join(strips.withColumnRenamed("node", "x"), "x")
     strip = lambda c: F.pmod(F.xxhash64(c), F.col("strips")).cast("int")
     return dealt.select(F.col("root").alias("r"), strip("x").alias("p"), strip("y").alias("q"), "x", "y")
