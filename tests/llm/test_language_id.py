@@ -1,6 +1,9 @@
 import random
+import sys
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from thermocal.llm.language_id import Filter, fit, grams, identify, normal
 
@@ -58,3 +61,47 @@ def test_edge_rows(spark, make_docs, prose):
     empty = fit(make_docs([]))
     assert [r["language"]["lang"] for r in identify(make_docs([(1, "abc")]), empty).collect()] == ["und"]
     assert identify(make_docs([]), model).collect() == []
+
+
+def test_letters_are_those_of_isalpha():
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if not 0xD800 <= ord(c) <= 0xDFFF:
+            assert (normal(c) is not None) == c.isalpha(), hex(ord(c))
+
+
+@pytest.mark.parametrize("text", ["½²", "Ⅷ", "①②③", "12 ¾", "_", "\u0663", "\u0301", "\U0001F642"])
+def test_texts_without_letters(spark, make_docs, text):
+    model = fit(make_docs(corpus(60, 3)))
+    assert model.decide(text) == ("und", 0.0)
+    assert model.decide("ñ" + text)[0] in STEMS and model.decide("a")[0] == "aa"
+
+
+def brute(train, texts, n, top):
+    """Per language the top n-grams as a plain set; the share of a text's n-grams in it decides."""
+    def plain(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        data = (" " + " ".join(words) + " ").encode() if words else b""
+        return [data[k:k + n] for k in range(len(data) - n + 1)]
+    counts = {}
+    for text, lang in train:
+        counts.setdefault(lang, Counter()).update(plain(text))
+    known = {k: {g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:top]} for k, c in sorted(counts.items())}
+    out = []
+    for text in texts:
+        gs = plain(text)
+        share = {k: sum(g in v for g in gs) / len(gs) if gs else 0.0 for k, v in known.items()}
+        best = max(share, key=share.get)
+        out.append((best, share[best] / sum(share.values()) if sum(share.values()) else 0.0))
+    return out
+
+
+@pytest.mark.parametrize("top", [25, 4000])
+def test_count_and_decide_against_brute_force(spark, make_docs, top):
+    train, held = corpus(150, 5), corpus(120, 6)
+    mixed = [(1000 + i, held[i][1] + " " + held[i + 1][1] + " 17 ½ x²y", "s0", None) for i in range(100)]
+    model = fit(make_docs(train), top=top, slots_log2=22)  # so wide a filter answers by mistake in none of these cases
+    rows = held + mixed
+    got = {r["doc_id"]: r["language"] for r in identify(make_docs(rows), model).collect()}
+    want = brute([(r[1], r[3]) for r in train], [r[1] for r in rows], 4, top)
+    for r, (lang, score) in zip(rows, want):
+        assert got[r[0]]["lang"] == lang and abs(got[r[0]]["score"] - score) < 1e-6, r

@@ -13,8 +13,12 @@ N-grams are ``n`` bytes of UTF-8 of the lower-cased text, in which everything bu
 Texts are looked up in pieces of ``PIECE`` bytes (with n - 1 bytes of overlap, so no n-gram is
 lost or counted twice), so very long texts need no more memory.
 
+A letter is what ``str.isalpha`` says of a character (Unicode categories L*): no digit, fraction,
+superscript or numeral is one.
+
 Defined results: ``und`` and score 0 for null texts and texts without a letter, and for all
-texts when nothing was learnt; ties go to the language that is first by code point; rows
+texts when nothing was learnt; a text too short for one n-gram (one ASCII letter, with n = 4) and one
+none of whose n-grams is known get score 0; ties, these among them, go to the language that is first by code point; rows
 with a null language, id or text do not train, rows that share an id train together or not
 at all; at most 64 languages (more raise an error).
 """
@@ -22,6 +26,7 @@ at all; at most 64 languages (more raise an error).
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,8 +40,10 @@ from .common import ship_package
 
 UNKNOWN = "und"
 PIECE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Number signs that are neither decimal digits nor letters (fractions, superscripts, Roman numerals): \w matches them.
+_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_LETTER = re.compile(rf"[^\W\d_{_SIGNS}]")
+_NO_LETTERS = re.compile(rf"[\W\d_{_SIGNS}]+")
 #: Odd multipliers of the slot hashes.
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
