@@ -94,3 +94,16 @@ def test_labels_that_teach_nothing_drop_no_document(spark, tables, tmp_path, lab
     docs = spark.read.parquet(f"{path}/documents.parquet")
     kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and kept.count() == len(rows)
+
+
+def test_one_document_of_each_group_whatever_its_ids(spark, make_docs, prose):
+    a, b, c = prose(40), prose(40), prose(40)
+    rows = [(None, a), (None, a + " end"), (None, a.replace(" ", "  ", 1)), (None, a), (None, b),   # two groups without an id
+            (7, c), (7, c + " end"), (8, c), (9, ""), (None, None), (None, "")]
+    kept = corpus_pipeline.one_of_each_group(spark, make_docs(rows, ["g", "h", "root"]).repartition(3), "")
+    assert kept.columns == [*make_docs(rows).columns, "g", "h", "root"]
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    group = lambda t: next((k for k, x in enumerate((a, b, c)) if t and t.split()[:9] == x.split()[:9]), t)
+    assert Counter((i, group(t)) for i, t in got) == Counter([(None, 0), (None, 1), (7, 2), (9, ""), (None, None), (None, "")])
+    assert set(got.values()) == {1} and got == Counter(
+        (r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, make_docs(rows[::-1]), "").collect())

@@ -361,7 +361,7 @@ def _among(wanted):
 def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                   threshold: float = 0.8) -> DataFrame:
     """One row per document: id, text_hash (``xxhash64``, 42 for null), n_shingles, component_id
-    (least id reachable by links)."""
+    (least id reachable by links) and component_hash (least text_hash of the component's rows of that id)."""
     spark = docs.sparkSession
     ship_package(spark)
     share = Fraction(threshold).limit_denominator(10_000)
@@ -419,7 +419,7 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         if step < LEADERS:
             group = _still_open(live.join(joined.withColumnRenamed("node", "c"), "c", "left")
                                 .withColumn("g", F.coalesce("root", "c")).drop("root"))
-    least = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("low"))
+    least = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("low"))
     named = (least.join(classes, ["k1", "k2"], "left").join(joined.withColumnRenamed("node", "c"), "c", "left")
              .withColumn("root", F.coalesce("root", "c")))
     # classes that met no other are components of their own
@@ -428,7 +428,8 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     by_key = apart.union(joint.join(joint.groupBy("root").agg(F.min("low").alias("component")), "root").select("k1", "k2", "component"))
     return (rows.join(by_key, ["k1", "k2"], "left")
             .select("id", F.col("h").alias("text_hash"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("k1").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")))
+                    F.when(F.col("k1").isNull(), F.col("id")).otherwise(F.col("component.id")).alias("component_id"),
+                    F.coalesce("component.h", "h").alias("component_hash")))
 
 
 def _chosen(met: DataFrame, num: int, den: int) -> DataFrame:
