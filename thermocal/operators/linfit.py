@@ -10,16 +10,12 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from thermocal.functions.expr import present
-from thermocal.operators.student_t import two_sided_p
+from thermocal.operators.student_t import slope_p_column, two_sided_p
 from thermocal.schema import CATEGORY, LEFT, RIGHT, TEMPERATURE
-from thermocal.session import ship_package
 from thermocal.sources.readings import require_columns
 
 SIDES = (("right", RIGHT), ("left", LEFT))
@@ -57,11 +53,6 @@ def t_two_sided_p(r: float, n: float) -> float:
     return two_sided_p(r * math.sqrt((n - 2.0) / one_minus), n - 2.0)
 
 
-@pandas_udf(T.DoubleType())
-def _p_value(r: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided_p(None if pd.isna(a) else float(a), float(b)) for a, b in zip(r, n)])
-
-
 # --- A5: single fit, temperature on TE ---------------------------------------------
 
 def fit_single(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGHT,
@@ -69,8 +60,8 @@ def fit_single(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGH
     """Regress temperature on each TE side: side, n, slope, intercept, r_value, p_value, std_err.
 
     One ungrouped aggregate computes both sides (no shuffle beyond the final
-    one-row merge). The p-value is a Student-t tail evaluated on the two result
-    rows only.
+    one-row merge). The p-value is a Student-t tail, an expression over the two result
+    rows.
     """
     require_columns(df, [temp_col, right_col, left_col], "single fit")
     y = _num(temp_col)
@@ -90,8 +81,7 @@ def fit_single(df: DataFrame, temp_col: str = TEMPERATURE, right_col: str = RIGH
         F.sqrt(F.try_divide((F.lit(1.0) - r * r) * F.col("syy"),
                             F.col("sxx") * (F.col("n") - F.lit(2)))).alias("std_err"))
     if with_p:
-        ship_package(df.sparkSession)
-        out = out.withColumn("p_value", _p_value(F.col("r_value"), F.col("n").cast("double")))
+        out = out.withColumn("p_value", slope_p_column(F.col("r_value"), F.col("n")))
         out = out.select("side", "n", "slope", "intercept", "r_value", "p_value", "std_err")
     return out
 

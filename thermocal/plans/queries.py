@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from thermocal.functions.expr import ensemble_predict, sigmoid_weight
 from thermocal.functions.poly import (
-    poly_feature_names, poly_powers, poly_predict, poly_predict_sql, poly_terms,
+    poly_feature_names, poly_powers, poly_predict, poly_predict_sql, poly_terms, with_poly_prediction,
 )
 from thermocal.operators.adjust import adjust_values, apply_adjuster, bracket_categories, multi_lines
 from thermocal.operators.blend import blend_tables
@@ -18,14 +18,15 @@ from thermocal.operators.linfit import categories, fit_multi, fit_single
 from thermocal.operators.metrics import missing_actual_count, regression_metrics
 from thermocal.operators.scaling import fit_scaler, inverse_log10, log10_target, standardize
 from thermocal.operators.split import kfold, nested_split, train_test_split
+from thermocal.operators.student_t import slope_p_sql
 from thermocal.plans import fixtures as fx
 from thermocal.plans.fixtures import with_views
 from thermocal.plans.registry import ORACLE, QUERIES, query, round_half, rounded, sql_round
 from thermocal.schema import FEATURES, TARGET
 from thermocal.session import scratch_path
 from thermocal.sources.params import (
-    SHIPPED_POLY, SHIPPED_SINGLE, multi_params_frame, multi_params_rows, read_params, save_params,
-    single_params_frame,
+    SHIPPED_POLY, SHIPPED_SINGLE, multi_params_frame, multi_params_rows, read_multi_params_json, read_params,
+    save_document, save_params, single_params_frame,
 )
 from thermocal.sources.readings import array_to_columns, read_readings
 
@@ -102,8 +103,15 @@ def q_metrics_zero_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- P2 / M2 ---------------------------------------------------------------------
 
+def _poly_model(degree: int) -> tuple[float, list[float]]:
+    """The shipped model; beyond the shipped degrees one of falling coefficients of changing sign."""
+    if degree in SHIPPED_POLY:
+        return SHIPPED_POLY[degree]
+    return 1000.0, [(-1) ** i * 1000.0 / (i + 1) for i in range(len(poly_powers(len(FEATURES), degree)))]
+
+
 def _poly_sql(degree: int) -> str:
-    intercept, coefs = SHIPPED_POLY[degree]
+    intercept, coefs = _poly_model(degree)
     pw = poly_powers(len(FEATURES), degree)
     return with_views(
         "SELECT sample_id, " + _r6(poly_predict_sql(FEATURES, pw, intercept, coefs), "predicted")
@@ -127,6 +135,28 @@ def q_poly_score_d2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _poly_score(spark, sf_dir, 2)
 
 
+def _poly_score_staged(spark: SparkSession, sf_dir: str, degree: int) -> DataFrame:
+    scored = with_poly_prediction(fx.readings(spark, sf_dir).select("sample_id", *FEATURES), FEATURES, degree, *_poly_model(degree), "predicted")
+    return rounded(scored.select("sample_id", "predicted"))
+
+
+@query("poly_score_d3", _poly_sql(3))
+def q_poly_score_d3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the shipped model of degree 3, its power products made degree by degree (as the next two)."""
+    return _poly_score_staged(spark, sf_dir, 3)
+
+
+@query("poly_score_d4", _poly_sql(4))
+def q_poly_score_d4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _poly_score_staged(spark, sf_dir, 4)
+
+
+@query("poly_score_d5", _poly_sql(5))
+def q_poly_score_d5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 at degree 5: 125 terms, coefficients by a rule."""
+    return _poly_score_staged(spark, sf_dir, 5)
+
+
 def _poly_expand_sql(degree: int) -> str:
     pw = poly_powers(len(FEATURES), degree)
     names = poly_feature_names(FEATURES, pw)
@@ -237,10 +267,14 @@ def q_te_single_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(apply_adjuster(r, fit_single(r, with_p=False), mode="single", threshold=25.0, target=23.0))
 
 
-@query("te_single_pvalue")
+@query("te_single_pvalue", with_views(
+    "SELECT side, CAST(n AS BIGINT) AS n, " + _r6("slope", "slope") + ", " + _r6("intercept", "intercept")
+    + ", " + _r6("r_value", "r_value") + ", " + _r6("p_value", "p_value") + ", "
+    + _r6("sqrt((1e0 - r_value * r_value) * syy / (sxx * (n - 2)))", "std_err")
+    + " FROM single_fit JOIN p USING (side)", extra=[SINGLE_FIT_CTE, f"p AS ({slope_p_sql('single_fit', 'side')})"]))
 def q_te_single_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5 with the two-sided p-value (Student t; no SQL twin)."""
-    return fit_single(fx.readings(spark, sf_dir), with_p=True)
+    """A5 with the two-sided p-value (Student t)."""
+    return rounded(fit_single(fx.readings(spark, sf_dir), with_p=True))
 
 
 # --- A6 / A7 / E3-E6 (multi adjuster) ----------------------------------------------------
@@ -467,6 +501,15 @@ def q_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        round_half(F.col("b"), 9).alias("b"))
 
 
+@query("params_nested_roundtrip", with_views(
+    "SELECT side, category, ord, " + sql_round("k", 9) + " AS k, " + sql_round("b", 9) + " AS b FROM multi_fit",
+    extra=MULTI_FIT_CTES))
+def q_params_nested_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 then S3 in the nested form: one document with a map of lines for each side, read back."""
+    path = save_document(fit_multi(fx.readings(spark, sf_dir)).drop("n"), scratch_path(spark, "nested-params") + "/lines.json")
+    return rounded(read_multi_params_json(spark, path), 9)
+
+
 @query("metrics_missing_actual", with_views(
     "SELECT CAST(count(*) FILTER (WHERE c IS NULL OR isnan(c)) AS BIGINT) AS missing_actual, "
     "CAST(count(*) AS BIGINT) AS rows FROM predictions", "predictions"))

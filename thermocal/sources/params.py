@@ -7,6 +7,8 @@ the scoring expressions.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,7 +94,7 @@ SHIPPED_MULTI_LEFT = [
     ("9", 0.023665343230534975, -0.6329356950892842),
 ]
 
-# Polynomial models of degree 1 and 2 over the four default features.
+# Polynomial models of degree 1 to 4 over the four default features.
 SHIPPED_POLY = {
     1: (14114.230628841402,
         [29661.694420656488, -21471.914169790292, 51133.60859044702, -543.6370340505653]),
@@ -101,6 +103,29 @@ SHIPPED_POLY = {
          906153.5484830509, -2701209.0382066383, 3607362.5866896613, -5325.555854399152,
          1632354.729816082, -4333563.768022718, 15531.591335500334, 7940926.3547123745,
          -20857.147186428083, -87.60350747292098]),
+    3: (5002115.520962095, [
+        -95520156.0682961, 153898947.42964408, -249419103.7906989, -542325.4439954634, -215844868.4561838,
+        109010880.33124079, -324855748.9434842, 7388498.646359394, 225297885.24628899, -116287005.14090346,
+        -11805660.839433948, -208568743.68077514, 19194159.288527846, 19513.155790324305, -126145470.44890411,
+        29468829.666688394, -155614300.08598053, 8321725.396482255, 90063775.90667957, -60594946.27845339,
+        -4264013.3015603535, -95019353.80469601, 12585738.705478014, -142892.07256642243, 74272645.98071803,
+        15791129.925966423, -8566035.38394545, -76386076.20440911, 4302022.0825952785, 226411.22582755474,
+        -18633277.60028609, 8283716.622544894, -369302.43559931585, -232.85761182278696]),
+    4: (-14080450.934158517, [
+        -1187466.8429621197, -475012.19775807805, -712454.6001703171, 3120837.413226154, 1891808.9361158025,
+        2326607.5346658183, -434798.59505263186, -1235528.8389354083, 2947646.769901678, -621039.2344067635,
+        5298625.316215248, 186240.63761838985, -6534154.150551044, -235157.71346982196, -3171368.379809886,
+        -3055242.3583065383, -116126.01537843743, -4316210.094428391, -2911000.089305462, -144242.26938369,
+        1009705.6487041499, 28116.254237638386, -5325915.742573464, 100771.61851303885, -2691336.28563632,
+        -219663.8036692257, 8650051.604067301, 75421.53428548828, -7640345.955488345, -404731.7526165284,
+        -47305.280047859334, 2314430.212923429, 505503.3828792525, 7444.073990831152, 3730875.0449345186,
+        3536458.4990054667, 194416.54592872254, -1814377.8793185526, 3336817.104690478, 199641.39431520097,
+        -536013.5061267886, -5224.848386496067, -1278364.3731665488, 164159.39675892628, 3130208.350916586,
+        206608.7537736634, 1321209.7567323293, -6967.359458446502, -1857223.2628720214, -45429.74333209207,
+        1742.5110719500117, 578858.8896989683, 209589.15639303887, -1979.531864580582, 2915772.701611256,
+        214435.64930554715, 4873218.959294285, -7826.895531889454, -3552009.2025200557, -332079.49086350424,
+        859.5360734427212, 1694785.9396554846, 286649.7387734418, 7756.027588266879, 882.9749985072133,
+        -1115927.0499565522, -77060.58215159354, -9738.17047540797, -85.19404664583271]),
 }
 
 # ---------------------------------------------------------------------------
@@ -222,3 +247,31 @@ def save_params(params: DataFrame, path: str, fmt: str = "json", mode: str = "er
         raise NotFittedError("model not fitted yet, cannot save parameters")
     params.sparkSession.createDataFrame(rows, params.schema).coalesce(1).write.mode(mode).format(fmt).save(path)
     return path
+
+
+def save_document(params: DataFrame, path: str, created_at: str | None = None, mode: str = "errorifexists") -> str:
+    """K4 in the form of :func:`read_multi_params_json` and :func:`read_single_params_json`: one JSON document.
+
+    A table with a category becomes ``{line_parm_right: {category: [k, b]}, line_parm_left, categories, created_at}``
+    (a line without a fit: ``[null, null]``; categories in the order of ``ord``), any other the flat ``right_slope, ...``.
+    ``path`` is a folder that holds the document. An empty (unfitted) table and a repeated or null key are refused.
+    """
+    rows = collect_small(params, MAX_PARAMETER_ROWS, "parameters")
+    if not rows:
+        raise NotFittedError("model not fitted yet, cannot save parameters")
+    nested = "category" in params.columns
+    keys = {(r["side"], r["category"]) if nested else r["side"] for r in rows}
+    if len(keys) < len(rows) or any(k is None or nested and None in k for k in keys):
+        raise InvalidInputError("parameters name a side or category twice, or have none")
+    spark = params.sparkSession
+    if nested:
+        order = {r["category"]: r["ord"] for r in rows}
+        sides = [{r["category"]: [r["k"], r["b"]] for r in sorted(rows, key=lambda r: r["ord"]) if r["side"] == side} for side in ("right", "left")]
+        stamp = created_at or datetime.now().isoformat()
+        doc = spark.createDataFrame([(*sides, sorted(order, key=lambda c: (order[c], c)), stamp)], _MULTI_JSON)
+    else:
+        by_side = {r["side"]: r.asDict() for r in rows}
+        doc = spark.createDataFrame([tuple((by_side.get(f.name.split("_", 1)[0]) or {}).get(f.name.split("_", 1)[1])
+                                           for f in _SINGLE_JSON.fields)], _SINGLE_JSON)
+    doc.coalesce(1).write.mode(mode).json(path)
+    return path
