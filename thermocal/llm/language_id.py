@@ -26,7 +26,6 @@ at all; at most 64 languages (more raise an error).
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,19 +39,19 @@ from .common import ship_package
 
 UNKNOWN = "und"
 PIECE = 1 << 20
-#: Number signs that are neither decimal digits nor letters (fractions, superscripts, Roman numerals): \w matches them.
-_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_LETTER = re.compile(rf"[^\W\d_{_SIGNS}]")
-_NO_LETTERS = re.compile(rf"[\W\d_{_SIGNS}]+")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Odd multipliers of the slot hashes.
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
 
 def normal(text: str | None) -> bytes | None:
     """Lower case, runs of non-letters as one blank, blanks at both ends; None without letters."""
-    if not text or not _LETTER.search(text):
+    if not text:
         return None
-    return (" " + _NO_LETTERS.sub(" ", text.lower()).strip() + " ").encode("utf-8", "replace")
+    out = _NO_LETTERS.sub(" ", text.lower()).strip()
+    if not out.replace(" ", "").isalpha():  # \w also matches number signs that are no digits: fractions, superscripts, numerals
+        out = " ".join("".join(c if c.isalpha() else " " for c in out).split())
+    return f" {out} ".encode("utf-8", "replace") if out else None
 
 
 def grams(data: bytes, n: int) -> np.ndarray:
