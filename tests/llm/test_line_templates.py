@@ -1,6 +1,9 @@
+import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from thermocal.llm.line_templates import drop_recurring
 
 from .conftest import edge_rows
@@ -22,24 +25,43 @@ def brute(rows, depth=4, min_tokens=5, similar=0.75, min_docs=2):
     for d in sorted(docs):
         for p, line in enumerate(d[2].split("\n")):
             t = tuple(tokens(line))
-            if len(t) >= min_tokens:
+            if len(t) >= min_tokens and t[0]:
                 lines.append((d, p, t, (len(t), t[:depth])))
     leaves = defaultdict(set)
     for d, p, t, leaf in lines:
         leaves[leaf].add((d, t))
     template = {}
     for leaf, held in leaves.items():
-        if len({d for d, _ in held}) < 2:
+        if len({d for d, _ in held}) < 2 or len({t for _, t in held}) < 2:
+            continue
+        tail = leaf[0] - depth
+        if tail - 1 < similar * tail:  # none of so few may differ
             continue
-        if len({t for _, t in held}) > 1:
-            tops = []
-            for k in range(leaf[0]):
-                c = Counter(t[k] for _, t in held)
-                n, w = max((n, w.encode()) for w, n in c.items())
-                tops.append(w.decode() if 2 * n >= len(held) else None)
-            for t in {t for _, t in held}:
-                if sum(a == b for a, b in zip(t, tops)) >= similar * leaf[0]:
-                    template[t] = ("leaf", leaf)
+        weight = Counter(t for _, t in held)  # documents of each distinct line
+        groups = [(("leaf", leaf), sorted(weight))]
+        while groups:
+            name, members = groups.pop()
+            counts = [Counter() for _ in range(tail)]
+            for t in members:
+                for k in range(tail):
+                    counts[k][t[depth + k]] += weight[t]
+            whole = sum(weight[t] for t in members)
+            tops = [max((n, w.encode()) for w, n in c.items()) for c in counts]
+            tops = [w.decode() if 2 * n >= whole else None for n, w in tops]
+            fits = {t for t in members if sum(a == b for a, b in zip(t[depth:], tops)) >= similar * tail}
+            for t in fits:
+                template[t] = name
+            left = [t for t in members if t not in fits]
+            held_by = Counter()
+            for t in left:
+                for k in range(tail):
+                    held_by[(k, t[depth + k])] += weight[t]
+            whole, parts = sum(weight[t] for t in left), defaultdict(list)
+            for t in left:
+                common = [(held_by[(k, t[depth + k])], -k, t[depth + k]) for k in range(tail) if held_by[(k, t[depth + k])] < whole]
+                if common:
+                    parts[max(common)[1:]].append(t)
+            groups += [((*name, key), part) for key, part in parts.items() if len(part) > 1]
     where = defaultdict(list)
     for d, p, t, leaf in lines:
         if len({x for x, _ in leaves[leaf]}) >= 2:
@@ -117,6 +139,28 @@ def test_every_template_of_a_leaf(spark, make_docs):
     got = {i: n for i, _, n, _ in plain(drop_recurring(make_docs(rows)))}
     stay = {0, 20, 26, 46, 66, 86, 87}
     assert got == {i: int(i not in stay) for i, _ in rows}
+    assert got == {i: n for i, _, n, _ in brute(rows)}
     # six of eight tokens alike, but two of the four after the leading ones
     rows = [(i, f"{start}same here {x}v {x}w") for i, x in enumerate("abcdef")]
     assert all(n == 0 for _, _, n, _ in plain(drop_recurring(make_docs(rows))))
+    assert all(r[2] == 0 for r in brute(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mixed_leaves_with_the_parameters_of_the_query(spark, make_docs, seed):
+    """Leaves that hold several templates and lines like none, short lines, numbers and copies."""
+    rng = random.Random(seed)
+    starts = [["the", "job", "has", "ended"], ["user", "<*>", "logged", "in"], ["é", "ñ", "ß", "漢字"]]
+
+    def line():
+        if rng.random() < 0.3:
+            return " ".join(rng.choice(["ok", "no", "é", str(rng.randrange(9))]) for _ in range(rng.randrange(1, 5)))
+        start, n = rng.choice(starts), rng.choice([5, 8, 8, 9, 12])
+        kind = rng.choice("pqrs")
+        tail = [f"{kind}{chr(97 + k)}" if rng.random() < 0.85 else rng.choice(["x", "yy", "zzz", f"v{rng.randrange(50)}"]) for k in range(n - 4)]
+        return "  ".join(start + tail)
+    rows = [(i, "\n".join(line() for _ in range(rng.randrange(1, 6)))) for i in range(150)]
+    rows += [(500 + i, rows[i][1]) for i in range(5)] + [(600, "\n \n\t"), (601, "\n \n\t")]
+    want = sorted(brute(rows, min_tokens=1), key=str)
+    assert plain(drop_recurring(make_docs(rows).repartition(3), min_tokens=1)) == want
+    assert 100 < sum(r[2] for r in want) < sum(r[1] for r in want) - 50
