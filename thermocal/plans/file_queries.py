@@ -1,8 +1,9 @@
 """Queries that write through a sink and return what is read back (K1, K3, K6), skip an empty
-prediction column (F2), and score rows with missing features (P6)."""
+prediction column (F2), score rows with missing features (P6), and score with saved models (K5, S4)."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from thermocal.functions.poly import poly_powers, poly_predict, poly_predict_sql
 from thermocal.operators.ensemble import NODES, TreeEnsemble, load_ensemble, save_ensemble, score_columns
 from thermocal.operators.metrics import check_metrics_nonempty, regression_metrics
+from thermocal.operators.mlp import MLPConfig, MLPModel, load_mlp, predict_mlp, save_mlp
 from thermocal.operators.split import train_test_split
 from thermocal.plans import fixtures as fx
 from thermocal.plans.fixtures import with_views
@@ -69,6 +71,38 @@ def q_score_missing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_scored(hole))
 
 
+# A small network over the four default features: sizes and scaler as fixed values, weights by a rule.
+_NET_SIZES = (len(FEATURES), 6, 5, 3, 1)
+_NET_SCALER = dict(zip(FEATURES, [(0.05, 0.04), (0.04, 0.03), (0.01, 0.02), (26.0, 3.0)]))
+
+
+def _small_network() -> MLPModel:
+    layers = []
+    for k, (a, b) in enumerate(zip(_NET_SIZES, _NET_SIZES[1:])):
+        layers.append((np.sin(1.0 + 7.0 * k + 3.0 * np.arange(a)[:, None] + 1.7 * np.arange(b)) / a, np.cos(k + np.arange(b)) / 4))
+    return MLPModel(MLPConfig(hidden=_NET_SIZES[1:-1], use_bn=False), tuple(FEATURES), _NET_SCALER, layers)
+
+
+def _network_sql(model: MLPModel) -> str:
+    """DuckDB twin: one SELECT a layer, its outputs as a list."""
+    doubles = lambda xs: "[" + ", ".join(f"{float(x)!r}::DOUBLE" for x in xs) + "]"
+    scaled = ", ".join(f'("{f}" - {m!r}::DOUBLE) / {s!r}::DOUBLE' for f, (m, s) in model.scaler.items())
+    steps = [f"h0 AS (SELECT sample_id, [{scaled}] AS h FROM readings)"]
+    for k, (w, b) in enumerate(model.layers):
+        last = k == len(model.layers) - 1
+        outs = [f"list_dot_product(h, {doubles(w[:, j])}) + {float(b[j])!r}::DOUBLE" for j in range(len(b))]
+        outs = outs if last else [f"greatest(0e0, {o})" for o in outs]
+        steps.append(f"h{k + 1} AS (SELECT sample_id, [{', '.join(outs)}] AS h FROM h{k})")
+    return with_views(f"SELECT sample_id, {sql_round('power(10e0, h[1])')} AS predicted FROM h{len(model.layers)}", extra=steps)
+
+
+@query("mlp_saved_score", _network_sql(_small_network()))
+def q_mlp_saved_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S4 + M11: a network saved, loaded, and scoring every reading."""
+    path = save_mlp(spark, _small_network(), scratch_path(spark, "network"))
+    return rounded(predict_mlp(fx.readings(spark, sf_dir), load_mlp(spark, path), "predicted").select("sample_id", "predicted"))
+
+
 _NODE_ROWS = ", ".join(str(r) for r in fx.SMALL_ENSEMBLE)
 _ENSEMBLE_SQL = with_views(f"""SELECT sample_id, {sql_round(f"{fx.SMALL_ENSEMBLE_BASE}e0 + {fx.SMALL_ENSEMBLE_SCALE}e0 * s")} AS predicted FROM (
   SELECT sample_id, sum(value) AS s FROM walk JOIN nodes USING (tree, node) WHERE feature < 0 GROUP BY sample_id)""", extra=[
