@@ -92,7 +92,7 @@ def multi_lines(params, target: float) -> dict[str, list[tuple[int, float, float
 
 # Up to this many lines the bracket search is generated as staged plain projections that compare with every
 # line (whole-stage codegen; faster than searching at the usual 17 lines: 8.7 s against 16-18 s for te_bracket at
-# sf0.1); above it a row searches an arrangement of the lines and looks at few of them. Results are the same.
+# sf0.1); above it a row searches an arrangement of the lines and looks at those within reach. Results are the same.
 GENERATED_MAX_LINES = 256
 
 

@@ -5,7 +5,7 @@ order of the lines is known up to a reach: two lines whose places differ by more
 than the slab's reach keep their order at every temperature of it. A reading then
 needs two binary searches, one for its slab and one for its place among the lines,
 and looks at the few lines within reach of that place. With every crossing a cut of
-its own (some 25 lines) the reach is 0 nearly everywhere; with more lines the
+its own (some 35 lines) the reach is 0 nearly everywhere; with more lines the
 cuts are quantiles of the crossings and the reach grows instead. The reach bounds
 what is looked at, so results are those of comparing with every line, at any number
 of lines and with any number of lines through one point.
