@@ -69,3 +69,24 @@ def test_fixed6_text(spark):
     got = [r[0] for r in fixed6(df, ["x"]).collect()]
     assert got[:len(vals)] == [None if v is None else "%.6f" % v for v in vals]
     assert got[len(vals):-1] == [None, "inf", "-inf"] and float(got[-1]) == 1e33
+
+
+def test_fixed6_near_halves(spark):
+    import math
+    from thermocal.sources.sinks import fixed6
+    vals = []
+    for whole in (0, 1, 7, 8_388_607, 8_796_092, 8_796_093, 123_456_789):
+        for millionths in (0, 1, 499_999, 999_999):
+            x = whole + (millionths + 0.5) / 1e6
+            vals += [x, -x, math.nextafter(x, math.inf), math.nextafter(x, 0.0), x + 1e-9, x - 1e-9, x + 9e-10, x + 1e-10, whole + millionths / 1e6]
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, x double").coalesce(1)
+    assert [r[0] for r in fixed6(df, ["x"]).collect()] == ["%.6f" % v for v in vals]
+
+
+def test_fixed6_computes_decimals_for_near_halves_only(spark):
+    from pyspark.sql import functions as F
+    from thermocal.sources.sinks import fixed6
+    rows = spark.range(1000).select((F.col("id") + 0.25).alias("x"))
+    plan = fixed6(rows, ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "8.796093022208E12" in plan          # numbers below 2**43 millionths are told apart before any decimal is made
+    assert fixed6(rows, ["x"]).where("x NOT LIKE '%.250000'").count() == 0
