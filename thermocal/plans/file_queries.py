@@ -100,7 +100,7 @@ def _network_sql(model: MLPModel) -> str:
 def q_mlp_saved_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 + S4 + M11: a network saved, loaded, and scoring every reading."""
     path = save_mlp(spark, _small_network(), scratch_path(spark, "network"))
-    return rounded(predict_mlp(fx.readings(spark, sf_dir), load_mlp(spark, path), "predicted").select("sample_id", "predicted"))
+    return rounded(predict_mlp(fx.readings(spark, sf_dir), load_mlp(spark, path), "predicted", as_columns=True).select("sample_id", "predicted"))
 
 
 _NODE_ROWS = ", ".join(str(r) for r in fx.SMALL_ENSEMBLE)
