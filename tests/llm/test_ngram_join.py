@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from thermocal.llm import ngram_join
 from thermocal.llm.ngram_join import ngram_classes
 
 from .conftest import edge_rows
@@ -66,3 +67,50 @@ def test_edge_rows(spark, make_docs, prose):
     assert [g[2] for g in got if g[0] in (4, 5)] == [4, 4, 4]
     assert (None, 1, None) in got
     assert ngram_classes(make_docs([])).collect() == []
+
+
+def near_misses(prose, words, copies, edits):
+    """Copies of a few texts with so many edits that most are linked with their base or each other only by chance."""
+    rng, texts = prose.rng, []
+    for n in words:
+        base = prose(n)
+        variant = edited(base, rng, [f"v{k}" for k in range(50)], 6)
+        texts += [base, variant]
+        for _ in range(copies):
+            text = edited(variant if rng.random() < 0.3 else base, rng, [f"w{k}" for k in range(300)], rng.choice(edits))
+            texts.append(text if rng.random() < 0.8 else " ".join(text.split()[rng.randrange(6):]))
+    rng.shuffle(texts)
+    return list(dict.fromkeys(texts))
+
+
+@pytest.fixture()
+def unordered(monkeypatch):
+    """An order as of a large corpus, where counters do not tell an edit's shingles from the text's own: any order is right."""
+    def made(self, *args, init=ngram_join.Order.__init__):
+        init(self, *args)
+        self.word[:], self.own[:] = 0, -1 << 20
+    monkeypatch.setattr(ngram_join.Order, "__init__", made)
+
+
+@pytest.mark.parametrize("size,t,num,den", [(3, 0.9, 9, 10), (5, 0.8, 4, 5), (1, 0.6, 3, 5), (2, 1.0, 1, 1)])
+def test_classes_of_a_hub_against_brute_force(spark, make_docs, prose, monkeypatch, unordered, size, t, num, den):
+    monkeypatch.setattr(ngram_join, "HUB", 2)
+    met = []
+    monkeypatch.setattr(ngram_join, "_differing", lambda apart, *a, made=ngram_join._differing: met.append(apart.count()) or made(apart, *a))
+    rows = list(enumerate(near_misses(prose, [12, 40, 90, 150], 40, [1, 2, 3, 3, 4, 5])))
+    n, roots = brute(rows, size, num, den)
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_classes(make_docs(rows).repartition(4), size=size, threshold=t).collect()}
+    assert got == {i: (k, r) for (i, _), k, r in zip(rows, n, roots)}
+    assert t == 1 or met[0] > 40
+
+
+def test_near_misses_of_one_text_are_not_all_paired(spark, make_docs, prose, monkeypatch, unordered):
+    """Copies of one text that share nearly all shingles, few of them similar enough: pairs grow with the copies, not with their square."""
+    made = []
+    monkeypatch.setattr(ngram_join, "_matched", lambda pairs, *a, run=ngram_join._matched: made.append(pairs.count()) or run(pairs, *a))
+    texts = near_misses(prose, [150], 500, [3, 4, 5])
+    rows = list(enumerate(texts))
+    n, roots = brute(rows, 3, 9, 10)
+    got = {r["id"]: r["component_id"] for r in ngram_classes(make_docs(rows).repartition(4), size=3, threshold=0.9).collect()}
+    assert got == dict(enumerate(roots)) and len(set(roots)) > 100
+    assert sum(made) < 10 * len(texts)

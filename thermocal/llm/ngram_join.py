@@ -24,6 +24,12 @@ are formed only between classes of one list that are still in different componen
 list of thousands of near copies needs about one pair for each, a pair of different
 texts is never skipped unless already connected, and no cap is set on lists.
 
+Many near copies of one text (the *hub*) that are not similar enough to each other would still all meet: they have nearly
+all shingles in common. What counts there is what sets them apart. With D(X) the shingles that either X or the hub has,
+and not both, X and Y differ by ``|D(X)| + |D(Y)| - 2 |D(X) & D(Y)|`` shingles. So unless both are linked to the hub itself (one component, then),
+similar ones share some of their few differing shingles, and a prefix of those, rarest of the hub's classes first, finds them:
+see ``_differing``. This is exact, and replaces the pairs of classes with one hub; pairs with different hubs are formed as before.
+
 Defined results: null, empty and blank texts have no shingles and are a component of their
 own; fewer than ``size`` words are one shingle; repeated rows belong to one class; a
 component is named by its least id (null only if all its ids are null).
@@ -52,7 +58,8 @@ TABLE = 20    #: log2 of the counters that order shingles
 SLICES = 64   #: parts in which counters are summed
 FILTER = 23   #: log2 of the bits of the filter over wanted classes
 MOST = 10     #: longest multi-match prefix
-LEADERS = 2   #: rounds of comparisons with leaders before the remaining pairs are formed
+HUB = 16      #: classes, at least, that are told apart by what sets them apart from their hub
+JUMPS = 2     #: times that a class's leader is replaced by its leader's leader to find the hub
 VERIFY = 300  #: cost of verifying a candidate, in postings
 HEAD = 8      #: part of the hash range that is compared first
 TILE = 4 << 20  #: bytes of sets on one side of a tile of pairs, about
@@ -305,23 +312,29 @@ def _matched(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     return both.filter(_matches()("tx", "ty", "lx", "ly")).select("x", "y")
 
 
-def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar enough."""
+    heads = sets.select("c", "n", "head")
+
     def side(c: str) -> DataFrame:
         return heads.select(F.col("c").alias(c), F.col("head").alias(f"s{c}"), F.col("n").alias(f"n{c}"))
     both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
     likely = stored(both.filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y"), "ngram-likely")
-    ends = likely.select(F.col("x").alias("c")).union(likely.select("y")).distinct()
-    wanted = heads.sparkSession.sparkContext.broadcast(_filter_bits(ends.join(classes, "c").select("k1"), "k1"))
     tiles = stored(_tiles(likely, heads), "ngram-tiles")
     places = tiles.select("r", "p", "q", F.col("x").alias("c")).union(tiles.select("r", "p", "q", "y")).distinct().toDF("tr", "tp", "tq", "c")
-    few = sets.filter(_among(wanted)("k1")).join(classes, ["k1", "k2"]).select("c", "set", "n").dropDuplicates(["c"])
-    dealt = few.join(places, "c").groupBy("tr", "tp", "tq")
+    dealt = _only(sets, places, "c").select("c", "set").join(places, "c").groupBy("tr", "tp", "tq")
     links = stored(tiles.groupBy("r", "p", "q").cogroup(dealt).applyInArrow(_tile_links(num, den), "x bigint, y bigint"), "ngram-found")
-    wanted.destroy()
+    dropped(likely)
+    dropped(tiles)
     return links
 
 
+def _only(sets: DataFrame, few: DataFrame, *columns: str) -> DataFrame:
+    """The sets of the classes that the columns name (and of a few that share their bits)."""
+    wanted = sets.sparkSession.sparkContext.broadcast(_filter_bits(few.select(*columns).distinct(), *columns))
+    return sets.filter(_among(wanted)("c"))
+
+
 def _tiles(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """(r, p, q, x, y): pairs dealt to tiles of about ``STRIP`` classes and ``TILE`` bytes of sets at most on either side, so that a set travels once for a tile and not
     once for a pair. The classes that pairs connect (r) are cut by a hash into as many strips as their number and their sets' bytes ask for, and a
@@ -405,20 +418,32 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     order.destroy()
     wanted = spark.sparkContext.broadcast(_filter_bits(classes, "k1"))
-    sets = stored(texts.select("t").mapInArrow(_sets(size, wanted), "k1 bigint, k2 bigint, n int, head binary, set binary"), "ngram-sets")
+    found = texts.select("t").mapInArrow(_sets(size, wanted), "k1 bigint, k2 bigint, n int, head binary, set binary")
+    sets = stored(found.dropDuplicates(["k1", "k2"]).join(classes, ["k1", "k2"]).select("c", "n", "head", "set"), "ngram-sets")
     wanted.destroy()
-    heads = stored(sets.select("k1", "k2", "n", "head").join(classes, ["k1", "k2"]).dropDuplicates(["c"]).select("c", "n", "head"), "ngram-heads")
-
-    links, group = None, live.withColumn("g", F.col("c"))
-    for step in range(LEADERS + 1):
-        pairs = _leader_pairs(group, step, num, den) if step < LEADERS else _remaining_pairs(group, num, den).distinct()
-        pairs = stored(_matched(pairs, prefixes), "ngram-matched")
-        found = _verified(pairs, heads, sets, classes, num, den)
-        links = stored(found if links is None else found.union(links), "ngram-links")
+
+    # First each class with one leader,
+    group = live.withColumn("g", F.col("c")).withColumn("h", -1 - F.col("c"))
+    led = stored(_matched(_leader_pairs(group, 0, num, den), prefixes), "ngram-matched")
+    links = _verified(led, sets, num, den)
+    joined = components(links, "x", "y")
+    group = _still_open(_in_components(group, joined))
+    # then what sets the many classes of a hub apart from it,
+    hubs = stored(_hubs(led, group), "ngram-hubs")
+    apart = stored(_apart(hubs, sets), "ngram-apart")
+    apart = _with_bounds(apart, num, den)
+    links = stored(links.union(apart.filter("near").select(F.col("c").alias("x"), F.col("h").alias("y"))), "ngram-links")
+    differing = stored(_differing(_in_components(apart, joined), num, den), "ngram-differing")
+    group = _still_open(group.drop("h").join(hubs, "c", "left").withColumn("h", F.coalesce("h", -1 - F.col("c"))))
+    # then each class with one leader of those lists and one of another hub, and last all pairs that are left.
+    for last in (False, True):
+        if last:
+            group, differing = _still_open(_in_components(group, joined)), _in_components(differing, joined)
+        pairs = (_remaining_pairs(group, num, den).union(_differing_pairs(differing, num, den)) if last else
+                 _leader_pairs(group, 1, num, den).union(_differing_leader_pairs(differing, num, den)))
+        pairs = stored(_matched(pairs.distinct(), prefixes), "ngram-matched")
+        links = stored(_verified(pairs, sets, num, den).union(links), "ngram-links")
         joined = components(links, "x", "y")
-        if step < LEADERS:
-            group = _still_open(live.join(joined.withColumnRenamed("node", "c"), "c", "left")
-                                .withColumn("g", F.coalesce("root", "c")).drop("root"))
     least = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("low"))
     named = (least.join(classes, ["k1", "k2"], "left").join(joined.withColumnRenamed("node", "c"), "c", "left")
              .withColumn("root", F.coalesce("root", "c")))
@@ -462,20 +487,116 @@ def _leader_pairs(group: DataFrame, step: int, num: int, den: int) -> DataFrame:
     first its class with the fewest shingles of its own (the text that the others are copies of), then its class
     of least hash, so near copies share one. (What is missed here, the remaining pairs hold.)"""
     score = F.col("share") if step == 0 else F.lit(0.0)
-    lead = group.groupBy("token").agg(F.max_by(F.struct("c", "n", "pos", "l", "i", "g"), F.struct(score, F.xxhash64("c", F.lit(step)))).alias("y"))
-    met = (group.alias("x").join(lead, "token").filter((F.col("x.g") != F.col("y.g")) & _may_link("x", "y", num, den))
-           .groupBy(F.col("x.c").alias("x"), F.col("y.c").alias("y")).agg(F.count("*").alias("k")))
+    lead = group.groupBy("token").agg(F.max_by(F.struct("c", "n", "pos", "l", "i", "g", "h"), F.struct(score, F.xxhash64("c", F.lit(step)))).alias("y"))
+    met = group.alias("x").join(lead, "token").filter((F.col("x.g") != F.col("y.g")) & (F.col("x.h") != F.col("y.h")) & _may_link("x", "y", num, den))
+    return _most_met(met)
+
+
+def _most_met(met: DataFrame) -> DataFrame:
+    """For each x the y that it met most often."""
+    met = met.groupBy(F.col("x.c").alias("x"), F.col("y.c").alias("y")).agg(F.count("*").alias("k"))
     return met.groupBy("x").agg(F.max_by("y", F.struct("k", "y")).alias("y"))
 
 
+def _in_components(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows of classes c with their component g."""
+    return (rows.drop("g").join(joined.select(F.col("node").alias("c"), "root"), "c", "left")
+            .withColumn("g", F.coalesce("root", "c")).drop("root"))
+
+
 def _still_open(group: DataFrame) -> DataFrame:
-    """Postings of lists that hold more than one component, stored."""
-    mixed = group.groupBy("token").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p <> q").select("token")
+    """Postings of lists that hold more than one component, and more than one hub's classes, stored."""
+    ends = [f(c).alias(f.__name__ + c) for c in ("g", "h") for f in (F.min, F.max)]
+    mixed = group.groupBy("token").agg(*ends).filter("ming <> maxg AND minh <> maxh").select("token")
     return stored(group.join(mixed, "token"), "ngram-open")
 
 
 def _remaining_pairs(group: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes in different components that meet at a shingle that can be their l-th."""
+    """Pairs of classes in different components and of different hubs that meet at a shingle that can be their l-th."""
     return (group.alias("x").join(group.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))
-                                  & (F.col("x.g") != F.col("y.g")) & _may_link("x", "y", num, den))
+                                  & (F.col("x.g") != F.col("y.g")) & (F.col("x.h") != F.col("y.h")) & _may_link("x", "y", num, den))
+            .select(F.col("x.c").alias("x"), F.col("y.c").alias("y")))
+
+
+def _hubs(led: DataFrame, group: DataFrame) -> DataFrame:
+    """(c, h): the hub of each open class, and of the hub itself, for hubs of ``HUB`` classes and more. A class's hub is its
+    leader, or rather that one's leader, and so on: leaders of one group of near copies differ from list to list, theirs do not."""
+    up = led.select(F.col("x").alias("c"), F.col("y").alias("h"))
+    for _ in range(JUMPS):
+        up = up.join(up.select(F.col("c").alias("h"), F.col("h").alias("over")), "h", "left").select("c", F.coalesce("over", "h").alias("h"))
+    up = up.join(group.select("c").distinct(), "c", "left_semi").filter("c <> h")
+    large = up.groupBy("h").agg(F.count("*").alias("k")).filter(F.col("k") >= HUB).select("h")
+    # a hub that has one, too, is with its own classes
+    return up.join(large.select(F.col("h").alias("c")), "c", "left_anti").join(large, "h", "left_semi").select("c", "h").union(large.select("h", "h"))
+
+
+def _apart(hubs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(h, c, n, nh, d): the shingles d that a class c of n or its hub h of nh has, but not both. A hub's classes are dealt to groups of
+    ``STRIP`` classes and ``TILE`` bytes at most, about, each of which gets the hub's set."""
+    members = hubs.filter("c <> h")
+    sizes = members.join(sets.select("c", "n"), "c").groupBy("h").agg(
+        F.greatest(F.ceil(F.sum(F.lit(8) * F.col("n")) / TILE), F.ceil(F.count("*") / STRIP)).cast("int").alias("strips"))
+    members = members.join(sizes, "h").withColumn("p", F.pmod(F.xxhash64("c"), F.col("strips")).cast("int")).select("h", "p", "c")
+    places = members.union(members.select("h", "p", F.col("h").alias("c")).distinct())
+    dealt = _only(sets, hubs, "c", "h").select("c", "set").join(places, "c")
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        cs, h = rows["c"].to_pylist(), rows["h"][0].as_py()
+        arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["set"]]
+        hub = arrays[cs.index(h)]
+        own = [k for k, c in enumerate(cs) if c != h]
+        return pa.table({
+            "h": pa.array([h] * len(own), pa.int64()), "c": pa.array([cs[k] for k in own], pa.int64()), "n": pa.array([len(arrays[k]) for k in own], pa.int64()),
+            "nh": pa.array([len(hub)] * len(own), pa.int64()),
+            "d": pa.array([np.setxor1d(arrays[k], hub, assume_unique=True).view(np.int64) for k in own], pa.list_(pa.int64()))})
+    return dealt.groupBy("h", "p").applyInArrow(run, "h bigint, c bigint, n bigint, nh bigint, d array<bigint>")
+
+
+def _with_bounds(apart: DataFrame, num: int, den: int) -> DataFrame:
+    """Adds a = |d|, s, near (is the class linked to its hub?) and least, the differing shingles at least that it shares with any class it may have to be linked to.
+
+    Sets of n and m with a and b differing from the hub, o of them shared, are similar enough if
+    ``(den + num) (a + b - 2 o) <= (den - num) (n + m)``, that is ``2 (den + num) o >= s + t`` with ``s = (den + num) a - (den - num) n`` and t alike. The
+    hub has b = 0 and t = ``(num - den) nh``, so a class is near if ``s <= (den - num) nh``. Pairs of near classes are connected by the hub;
+    in any other, t of a near class's partner is above ``(den - num) nh``. A far class's partner has ``m <= nh + b``, so ``t >= 2 num b - (den - num) nh``
+    with ``b >= o``, and no less than the least of the hub's classes. All bounds are above 0."""
+    both, reach = 2 * (den + num), (den - num) * F.col("nh")
+    apart = apart.withColumn("a", F.size("d").cast("long")).withColumn("s", (den + num) * F.col("a") - (den - num) * F.col("n"))
+    apart = apart.withColumn("near", F.col("s") <= reach)
+    apart = apart.join(apart.groupBy("h").agg(F.min("s").alias("low")), "h")
+    least = F.when(F.col("near"), F.ceil((F.col("s") + reach + 1) / both)).otherwise(
+        F.greatest(F.ceil((F.col("s") + F.col("low")) / both), F.ceil((F.col("s") - reach) / (2 * den))))
+    return apart.withColumn("least", F.greatest(least, F.lit(1)).cast("long")).drop("low")
+
+
+def _differing(apart: DataFrame, num: int, den: int) -> DataFrame:
+    """Postings (h, token, c, g, a, s, near, i): of each class's differing shingles, those rarest in its hub's classes first,
+    the prefix that holds one shared with any class that it may have to be linked to. i: how many come before."""
+    each = apart.select("h", "c", "g", "a", "s", "near", "least", F.explode("d").alias("token"))
+    lists = each.groupBy("h", "token").agg(F.count("*").alias("len")).filter("len > 1")
+    own = Window.partitionBy("h", "c")
+    # those that no other class has come first, and post nothing
+    shared = each.join(lists, ["h", "token"]).withColumn("i", F.col("a") - F.count("*").over(own) + F.row_number().over(own.orderBy("len", "token")) - 1)
+    return shared.filter(F.col("i") <= F.col("a") - F.col("least")).select("h", "token", "c", "g", "a", "s", "near", "i")
+
+
+def _may_share(num: int, den: int):
+    """May this be the first differing shingle that x and y share?"""
+    col = lambda side, name: F.col(f"{side}.{name}")
+    room = F.least(col("x", "a") - col("x", "i"), col("y", "a") - col("y", "i"))
+    return (col("x", "g") != col("y", "g")) & ~(col("x", "near") & col("y", "near")) & (2 * (den + num) * room >= col("x", "s") + col("y", "s"))
+
+
+def _differing_leader_pairs(differing: DataFrame, num: int, den: int) -> DataFrame:
+    """For each class at most one pair, with the leader that leads most of its lists of differing shingles: of those not linked to
+    the hub the class that differs least from it (a variant that others are copies of)."""
+    lead = differing.groupBy("h", "token").agg(F.max_by(F.struct("c", "g", "a", "s", "near", "i"), F.struct(~F.col("near"), -F.col("a"), F.xxhash64("c"))).alias("y"))
+    return _most_met(differing.alias("x").join(lead, ["h", "token"]).filter(_may_share(num, den)))
+
+
+def _differing_pairs(differing: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of classes of one hub in different components that meet at a differing shingle that can be their first."""
+    x, y = differing.alias("x"), differing.alias("y")
+    return (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & _may_share(num, den))
             .select(F.col("x.c").alias("x"), F.col("y.c").alias("y")))
