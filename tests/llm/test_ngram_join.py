@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+import pyspark
 import pytest
 
 from thermocal.llm import ngram_join
@@ -114,3 +116,27 @@ def test_near_misses_of_one_text_are_not_all_paired(spark, make_docs, prose, mon
     got = {r["id"]: r["component_id"] for r in ngram_classes(make_docs(rows).repartition(4), size=3, threshold=0.9).collect()}
     assert got == dict(enumerate(roots)) and len(set(roots)) > 100
     assert sum(made) < 10 * len(texts)
+
+
+def test_filters_over_classes_are_packed_and_given_back(spark, make_docs, prose, monkeypatch):
+    """The driver's memory: a filter is eight bits to a byte, and no broadcast of the join is kept once it is read."""
+    made, gone = [], []
+    broadcast, destroy = type(spark.sparkContext).broadcast, pyspark.Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append((broadcast(self, value), value)) or made[-1][0])
+    monkeypatch.setattr(pyspark.Broadcast, "destroy", lambda self, *a, **b: gone.append(self) or destroy(self, *a, **b))
+    base = prose(200)
+    rows = [(i, edited(base, prose.rng, ["zz", "yy"], 1)) for i in range(30)]
+    got = {r["component_id"] for r in ngram_classes(make_docs(rows)).collect()}
+    assert got == {0}
+    bits = [value for _, value in made if isinstance(value, np.ndarray)]
+    assert len(bits) >= 5 and all(x.nbytes <= (1 << ngram_join.FILTER) // 8 for x in bits)
+    assert {id(b) for b, _ in made} == {id(b) for b in gone}
+
+
+def test_packed_filter_has_its_keys_and_few_more():
+    keys = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 1000)
+    bits = np.zeros(1 << ngram_join.FILTER, bool)
+    bits[ngram_join._bit(keys)] = True
+    packed, others = np.packbits(bits), np.arange(100_000)
+    assert ngram_join._has(packed, keys).all() and all(ngram_join._has(packed, int(k)) for k in keys[:50])
+    assert (ngram_join._has(packed, others) == bits[ngram_join._bit(others)]).all()

@@ -70,3 +70,25 @@ def test_edge_rows(spark, make_docs, prose):
     assert got == [0.5]
     _, got = run(spark, make_docs, rows, [(0, 1, 0)], [(1, "a")])
     assert got[0] < 0.01
+
+
+def test_the_driver_receives_used_features_alone(spark, make_docs, monkeypatch):
+    """Features are counted and chosen in tasks; the choice is that of a plain count, also over repeated rows and empty lists of swapped texts."""
+    rows, labels = corpus(300, 5, bias=True)
+    rows += [(1000, None), (1001, "zzz"), (1002, "women"), rows[0]]
+    labels += [(1000, 1, 0), (1001, 1, 1), (1002, 1, 0)]
+    y = {i: t for i, _, t in labels}
+    lists = [(y[i], {s for w in words_of(t) for s in slots_of(w, 18)}) for i, t in rows]
+    n, share = len(lists), sum(t for t, _ in lists) / len(lists)
+    seen, toxic = {}, {}
+    for t, x in lists:
+        for s in x:
+            seen[s], toxic[s] = seen.get(s, 0) + 1, toxic.get(s, 0) + t
+    z = {s: (toxic[s] - k * share) / np.sqrt(k * share * (1 - share) * max(1 - k / n, 1 / n)) for s, k in seen.items() if k >= 5}
+    used = {s for s, x in z.items() if abs(x) >= 5.0}
+    got, to_arrow = [], type(make_docs(rows)).toArrow
+    monkeypatch.setattr(type(make_docs(rows)), "toArrow", lambda self: got.append(to_arrow(self)) or got[-1])
+    model, _ = run(spark, make_docs, rows, labels, [(1, "a")], bits=18)
+    assert used and set(model.weights) <= used and len(model.weights) >= 0.9 * len(used)
+    elements = sum(len(x) for t in got if "x" in t.column_names for x in t["x"].to_pylist())
+    assert elements == sum(len(x & used) for _, x in lists)

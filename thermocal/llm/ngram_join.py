@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -181,12 +181,13 @@ class Order:
 
     def __init__(self, counts: np.ndarray, size: int):
         logs = lambda x: np.round(256 * np.log2(np.maximum(x, 1))).astype(np.int32)
-        words, own = counts.astype(np.float64)
-        self.size, self.word = size, logs(words)
+        by_slice = lambda f, x: np.concatenate([f(part.astype(np.float64)) for part in np.split(x, SLICES)])  # noqa: E731  (the driver holds few copies)
+        words, own = counts
+        self.size, self.word = size, by_slice(logs, words)
         # occurrences by chance: the product of the words' shares, times all occurrences
-        self.chance = int(round(256 * (size - 1) * np.log2(max(1.0, words.sum()))))
-        mean = own.mean()
-        self.own = np.where(own > mean + 4 * np.sqrt(mean) + 1, logs(own - mean), -1 << 20).astype(np.int32)
+        self.chance = int(round(256 * (size - 1) * np.log2(max(1.0, float(words.sum(dtype=np.uint64))))))
+        mean = float(own.sum(dtype=np.uint64)) / len(own)
+        self.own = by_slice(lambda x: np.where(x > mean + 4 * np.sqrt(mean) + 1, logs(x - mean), -1 << 20).astype(np.int32), own)
 
     def ranks(self, u: np.ndarray, at: np.ndarray, word_ranks: np.ndarray) -> np.ndarray:
         """A number for each shingle, less for rarer ones; ``word_ranks``: of the batch's words."""
@@ -239,8 +240,14 @@ def _bit(key):
     return ((key * _P1) >> np.uint64(64 - FILTER)).astype(np.int64)
 
 
+def _has(bits: np.ndarray, key):
+    """Is the key's bit set?"""
+    at = _bit(key)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 != 0
+
+
 def _filter_bits(keys: DataFrame, *columns: str) -> np.ndarray:
-    """Bits of all values of the columns: a fixed-size filter without false negatives."""
+    """Bits of all values of the columns, eight in a byte: a fixed-size filter without false negatives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER, bool)
         for b in batches:
@@ -250,7 +257,7 @@ def _filter_bits(keys: DataFrame, *columns: str) -> np.ndarray:
     out = np.zeros((1 << FILTER) // 8, np.uint8)
     for r in keys.select(*columns).coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
         out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return np.unpackbits(out).astype(bool)
+    return out
 
 
 def _sets(size: int, wanted):
@@ -263,7 +270,7 @@ def _sets(size: int, wanted):
                 keys, heads, sets = [], [], []
                 for u, _ in shingles(words, ends, size):
                     key = set_key(u)
-                    if key is None or key in seen or not bits[_bit(key[0])]:
+                    if key is None or key in seen or not _has(bits, key[0]):
                         continue
                     if len(seen) > 50_000:
                         seen.clear()
@@ -322,17 +329,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     likely = stored(both.filter(_linked(num, den)("sx", "sy", "nx", "ny")).select("x", "y"), "ngram-likely")
     tiles = stored(_tiles(likely, heads), "ngram-tiles")
     places = tiles.select("r", "p", "q", F.col("x").alias("c")).union(tiles.select("r", "p", "q", "y")).distinct().toDF("tr", "tp", "tq", "c")
-    dealt = _only(sets, places, "c").select("c", "set").join(places, "c").groupBy("tr", "tp", "tq")
+    few, wanted = _only(sets, places, "c")
+    dealt = few.select("c", "set").join(places, "c").groupBy("tr", "tp", "tq")
     links = stored(tiles.groupBy("r", "p", "q").cogroup(dealt).applyInArrow(_tile_links(num, den), "x bigint, y bigint"), "ngram-found")
+    wanted.destroy()
     dropped(likely)
     dropped(tiles)
     return links
 
 
-def _only(sets: DataFrame, few: DataFrame, *columns: str) -> DataFrame:
-    """The sets of the classes that the columns name (and of a few that share their bits)."""
+def _only(sets: DataFrame, few: DataFrame, *columns: str) -> tuple[DataFrame, Broadcast]:
+    """The sets of the classes that the columns name (and of a few that share their bits), and the filter, to be destroyed after their last use."""
     wanted = sets.sparkSession.sparkContext.broadcast(_filter_bits(few.select(*columns).distinct(), *columns))
-    return sets.filter(_among(wanted)("c"))
+    return sets.filter(_among(wanted)("c")), wanted
 
 
 def _tiles(pairs: DataFrame, heads: DataFrame) -> DataFrame:
@@ -367,7 +376,7 @@ def _tile_links(num: int, den: int):
 def _among(wanted):
     def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for k in it:
-            yield pa.array(wanted.value[_bit(k.to_numpy(zero_copy_only=False))])
+            yield pa.array(_has(wanted.value, k.to_numpy(zero_copy_only=False)))
     return arrow_udf(run, "boolean")
 
 
@@ -430,8 +439,7 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     group = _still_open(_in_components(group, joined))
     # then what sets the many classes of a hub apart from it,
     hubs = stored(_hubs(led, group), "ngram-hubs")
-    apart = stored(_apart(hubs, sets), "ngram-apart")
-    apart = _with_bounds(apart, num, den)
+    apart = _with_bounds(_apart(hubs, sets), num, den)
     links = stored(links.union(apart.filter("near").select(F.col("c").alias("x"), F.col("h").alias("y"))), "ngram-links")
     differing = stored(_differing(_in_components(apart, joined), num, den), "ngram-differing")
     group = _still_open(group.drop("h").join(hubs, "c", "left").withColumn("h", F.coalesce("h", -1 - F.col("c"))))
@@ -446,7 +454,8 @@ def ngram_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         joined = components(links, "x", "y")
     least = rows.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("low"))
     named = (least.join(classes, ["k1", "k2"], "left").join(joined.withColumnRenamed("node", "c"), "c", "left")
-             .withColumn("root", F.coalesce("root", "c")))
+             .select("k1", "k2", "low", F.coalesce("root", "c").alias("root")))
+    named = stored(named, "ngram-named")  # read three times; the plan of all that led here is not
     # classes that met no other are components of their own
     apart = named.filter("root IS NULL").select("k1", "k2", F.col("low").alias("component"))
     joint = named.filter("root IS NOT NULL")
@@ -524,21 +533,22 @@ def _hubs(led: DataFrame, group: DataFrame) -> DataFrame:
     up = led.select(F.col("x").alias("c"), F.col("y").alias("h"))
     for _ in range(JUMPS):
         up = up.join(up.select(F.col("c").alias("h"), F.col("h").alias("over")), "h", "left").select("c", F.coalesce("over", "h").alias("h"))
-    up = up.join(group.select("c").distinct(), "c", "left_semi").filter("c <> h")
+    up = stored(up.join(group.select("c").distinct(), "c", "left_semi").filter("c <> h"), "ngram-leaders")
     large = up.groupBy("h").agg(F.count("*").alias("k")).filter(F.col("k") >= HUB).select("h")
     # a hub that has one, too, is with its own classes
     return up.join(large.select(F.col("h").alias("c")), "c", "left_anti").join(large, "h", "left_semi").select("c", "h").union(large.select("h", "h"))
 
 
 def _apart(hubs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(h, c, n, nh, d): the shingles d that a class c of n or its hub h of nh has, but not both. A hub's classes are dealt to groups of
+    """(h, c, n, nh, d), stored: the shingles d that a class c of n or its hub h of nh has, but not both. A hub's classes are dealt to groups of
     ``STRIP`` classes and ``TILE`` bytes at most, about, each of which gets the hub's set."""
     members = hubs.filter("c <> h")
     sizes = members.join(sets.select("c", "n"), "c").groupBy("h").agg(
         F.greatest(F.ceil(F.sum(F.lit(8) * F.col("n")) / TILE), F.ceil(F.count("*") / STRIP)).cast("int").alias("strips"))
     members = members.join(sizes, "h").withColumn("p", F.pmod(F.xxhash64("c"), F.col("strips")).cast("int")).select("h", "p", "c")
     places = members.union(members.select("h", "p", F.col("h").alias("c")).distinct())
-    dealt = _only(sets, hubs, "c", "h").select("c", "set").join(places, "c")
+    few, wanted = _only(sets, hubs, "c", "h")
+    dealt = few.select("c", "set").join(places, "c")
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -550,7 +560,9 @@ def _apart(hubs: DataFrame, sets: DataFrame) -> DataFrame:
             "h": pa.array([h] * len(own), pa.int64()), "c": pa.array([cs[k] for k in own], pa.int64()), "n": pa.array([len(arrays[k]) for k in own], pa.int64()),
             "nh": pa.array([len(hub)] * len(own), pa.int64()),
             "d": pa.array([np.setxor1d(arrays[k], hub, assume_unique=True).view(np.int64) for k in own], pa.list_(pa.int64()))})
-    return dealt.groupBy("h", "p").applyInArrow(run, "h bigint, c bigint, n bigint, nh bigint, d array<bigint>")
+    found = stored(dealt.groupBy("h", "p").applyInArrow(run, "h bigint, c bigint, n bigint, nh bigint, d array<bigint>"), "ngram-apart")
+    wanted.destroy()
+    return found
 
 
 def _with_bounds(apart: DataFrame, num: int, den: int) -> DataFrame:

@@ -9,8 +9,9 @@ identity terms of a text are swapped for each other, so a text may not score hig
 because of the group that it names.
 
 Training rows: at most ``max_rows`` labelled rows (a documented bound; the rows with the
-smallest hash of their id, the same on every run), their words found in Spark tasks; the
-driver holds at most ``max_rows`` lists of distinct hashed words. Scoring runs over every
+smallest hash of their id, the same on every run), their words found and counted in Spark
+tasks; the driver holds the counts of features that ``min_docs`` texts have, and at most
+``max_rows`` lists of the features in use. Scoring runs over every
 whole text in tasks, the weights being one broadcast array of fixed size.
 
 Defined results: null, empty and wordless texts score by the bias alone; labels other
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import ship_package
+from .common import dropped, ship_package, stored
 
 #: Terms that name groups, in sets whose members can stand for each other.
 IDENTITY = [
@@ -111,27 +112,20 @@ def _features(bits: int, variants: int):
     return arrow_udf(make, "struct<x:array<int>,swaps:array<array<int>>>").asNondeterministic()
 
 
-def train(rows: np.ndarray, cols: np.ndarray, ys: np.ndarray, src: np.ndarray, srows: np.ndarray, scols: np.ndarray,
-          *, bits: int, min_docs: int, min_z: float, positive_weight: float, swap: float, l2: float,
-          epochs: int, rate: float) -> Model:
-    """Full-batch Adam on the three terms. (rows, cols): hashed words of the texts; (srows, scols):
+def _used(got: DataFrame, n: int, share: float, min_docs: int, min_z: float) -> np.ndarray:
+    """The features, ascending, that enough texts have and that part the classes better than chance; others would only be learnt by heart."""
+    counts = (got.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.count("*").cast("int").alias("seen"), F.sum("y").cast("int").alias("toxic"))
+              .filter(F.col("seen") >= min_docs).toArrow())
+    f, k, toxic = (counts[c].to_numpy() for c in ("f", "seen", "toxic"))
+    z = (toxic - k * share) / np.sqrt(k * share * (1 - share) * np.maximum(1 - k / n, 1 / n))
+    return np.sort(f[np.abs(z) >= min_z]).astype(np.int32)
+
+
+def train(rows: np.ndarray, cols: np.ndarray, ys: np.ndarray, src: np.ndarray, srows: np.ndarray, scols: np.ndarray, used: np.ndarray,
+          *, bits: int, positive_weight: float, swap: float, l2: float, epochs: int, rate: float) -> Model:
+    """Full-batch Adam on the three terms. (rows, cols): places in ``used`` of the texts' features; (srows, scols):
     those of swapped texts, ``src`` naming the text that each comes from."""
-    n, share = len(ys), float(np.mean(ys)) if len(ys) else 0.5
-    if n == 0 or share in (0.0, 1.0):
-        p = min(max(share, 1e-6), 1 - 1e-6)
-        return Model({}, float(np.log(p / (1 - p))), bits)
-    # Rarer features, and those that part the classes no better than chance, would only be learnt by heart.
-    seen, toxic = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
-    for a in range(0, len(cols), SLICE):
-        c = cols[a:a + SLICE]
-        np.add.at(seen, c, 1)
-        np.add.at(toxic, c, ys[rows[a:a + SLICE]].astype(np.int32))
-    used = np.flatnonzero(seen >= min_docs)
-    k = seen[used]
-    z = (toxic[used] - k * share) / np.sqrt(k * share * (1 - share) * np.maximum(1 - k / n, 1 / n))
-    del seen, toxic
-    used = used[np.abs(z) >= min_z].astype(np.int32)
-    (rows, cols), (srows, scols) = _of_used(rows, cols, used), _of_used(srows, scols, used)
+    n, share = len(ys), float(np.mean(ys))
     w, b, size = np.zeros(len(used)), float(np.log(share / (1 - share))), len(used)
     cost = np.where(ys == 1, positive_weight, 1.0)
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
@@ -170,6 +164,23 @@ def _spans(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(lists), dtype=np.int32), lens), lists.flatten()
 
 
+def _places(used):
+    """Lists of features, or lists of such lists -> the same with the places of the used ones."""
+    def placed(lists: pa.Array) -> pa.Array:
+        if pa.types.is_list(lists.type.value_type):
+            items, lens = placed(lists.flatten()), lists.value_lengths().to_numpy(zero_copy_only=False)
+        else:
+            rows, cols = _spans(lists)
+            rows, cols = _of_used(rows, cols.to_numpy(zero_copy_only=False), used.value)
+            items, lens = pa.array(cols, pa.int32()), np.bincount(rows, minlength=len(lists))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), items)
+
+    def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in it:
+            yield placed(lists)
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", train_rows: Column | None = None, max_rows: int = 8_000, bits: int = 22, min_docs: int = 5,
         min_z: float = 5.0, positive_weight: float = 3.0, swap: float = 1.0, l2: float = 3e-4, epochs: int = 150,
@@ -183,15 +194,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     chosen = F.broadcast(y.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows))  # max_rows rows of two numbers
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).join(chosen, "id")
     got = texts.select("id", "y", _features(bits, variants)("t").alias("f")).select("id", "y", "f.x", "f.swaps")
-    table = got.toArrow()  # at most max_rows documents' hashed words (more only if an id repeats)
+    got = stored(got, "toxic-features")  # of at most max_rows documents (more only if an id repeats)
+    n, share = got.agg(F.count("*"), F.coalesce(F.avg("y"), F.lit(0.5))).first()
+    if n == 0 or share in (0.0, 1.0):
+        dropped(got)
+        p = min(max(share, 1e-6), 1 - 1e-6)
+        return Model({}, float(np.log(p / (1 - p))), bits)
+    used = _used(got, n, share, min_docs, min_z)
+    shared = docs.sparkSession.sparkContext.broadcast(used)
+    places = {c: arrow_udf(_places(shared), kind)(c).alias(c) for c, kind in (("x", "array<int>"), ("swaps", "array<array<int>>"))}
+    table = got.select("id", "y", places["x"], places["swaps"]).toArrow()
+    shared.destroy()
+    dropped(got)
     table = table.sort_by("id").combine_chunks()
     column = lambda c: table[c].combine_chunks() if len(table) else pa.array([], table.schema.field(c).type)
     rows, cols = _spans(column("x"))
     src, swaps = _spans(column("swaps"))
     srows, scols = _spans(swaps)
     return train(rows, cols.to_numpy(zero_copy_only=False), table["y"].to_numpy().astype(float), src, srows,
-                 scols.to_numpy(zero_copy_only=False), bits=bits, min_docs=min_docs,
-                 min_z=min_z, positive_weight=positive_weight, swap=swap, l2=l2, epochs=epochs, rate=rate)
+                 scols.to_numpy(zero_copy_only=False), used, bits=bits, positive_weight=positive_weight, swap=swap, l2=l2, epochs=epochs, rate=rate)
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", out: str = "toxicity") -> DataFrame:
